@@ -260,11 +260,24 @@ class Codec:
         return out[1:] if out[:1] == b" " else out
 
 
+#: Codecs of this Python worker by model and kind, with the words and pairs they remember.
+_CODECS: dict[tuple[bytes, str], Codec] = {}
+
+
+def codec_of(model: bytes, kind: str) -> Codec:
+    """The worker's codec: tasks that follow each other use what earlier ones have learned about pairs and words."""
+    key = hashlib.sha256(model).digest(), kind
+    if key not in _CODECS:
+        _CODECS.clear()
+        _CODECS[key] = Codec.from_model(model, kind)
+    return _CODECS[key]
+
+
 def encode_documents(docs: DataFrame, model: bytes, kind: str = "bpe") -> DataFrame:
     """(doc_id, ids, decoded) per row; decoded is the binary that decoding the ids gives back."""
 
     def make() -> Callable:
-        codec = Codec.from_model(model, kind)
+        codec = codec_of(model, kind)
 
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
             ids = [codec.encode(t) for t in b.column("text").to_pylist()]
@@ -283,7 +296,7 @@ def encoded_digests(docs: DataFrame, model: bytes, kind: str = "bpe") -> DataFra
     bytes compared to the text where they arise. ids_sha256 is of the ids as little-endian 32-bit."""
 
     def make() -> Callable:
-        codec = Codec.from_model(model, kind)
+        codec = codec_of(model, kind)
 
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
             raw = [x or b"" for x in texts(b)]
