@@ -129,7 +129,8 @@ def reassembled(recipe: DataFrame, chunk_store: DataFrame, words: bytes, use: Ca
     once = recipe.groupBy("media_key").agg(F.first("digests").alias("digests"))
     refs = once.select("media_key", F.size("digests").alias("n"), F.posexplode("digests").alias("at", "digest"))
     rows = refs.join(chunk_store, "digest").select("media_key", "n", "at", "digest", "packed")
-    rows = rows.repartition("media_key").sortWithinPartitions("media_key", "at")
+    # a medium of one chunk is whole already and needn't move again
+    several = rows.where("n > 1").repartition("media_key").sortWithinPartitions("media_key", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         more = {"dict_data": zstandard.ZstdCompressionDict(words)} if words else {}
@@ -156,7 +157,8 @@ def reassembled(recipe: DataFrame, chunk_store: DataFrame, words: bytes, use: Ca
     spec = [x.split() for x in names.split(", ")]
     types = [pa.binary()] + [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[t] for _, t in spec]
     columns = ["media_key", *(n for n, _ in spec)]
-    return rows.mapInArrow(run, f"media_key binary, {names}")
+    schema = f"media_key binary, {names}"
+    return several.mapInArrow(run, schema).unionAll(rows.where("n = 1").mapInArrow(run, schema))
 
 
 def digest_features(media: bytes) -> tuple:
@@ -165,16 +167,19 @@ def digest_features(media: bytes) -> tuple:
     ends = cuts(media)
     centred = x.astype(np.int16) - 128
     feature = f"chunks={len(ends)};mean={x.mean():.4f};crossings={int(((centred[1:] >= 0) != (centred[:-1] >= 0)).sum())}"
-    return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature
+    return len(payload), hashlib.sha256(payload).digest(), zlib.crc32(payload[-64:]), len(media), feature
 
 
 def store_and_read(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: digests of the payload and the file that came back from the chunk store."""
     words = dictionary(docs)
     recipe = materialize(recipes(docs))
-    names = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    names = "payload_bytes long, payload_digest binary, tail_crc32 long, media_bytes long, feature string"
     found = reassembled(recipe, store(docs, words), words, digest_features, names)
-    return recipe.select("doc_id", "n_bytes", "media_key").join(found, "media_key").drop("media_key")
+    text = lambda c: F.lower(F.hex(c))
+    return recipe.select("doc_id", "n_bytes", "media_key").join(found, "media_key").select(
+        "doc_id", "n_bytes", "payload_bytes", text("payload_digest").alias("payload_sha256"), "tail_crc32", "media_bytes", text("media_key").alias("media_sha256"), "feature"
+    )  # the key is the digest that was verified
 
 
 def op8_chunked_media(spark: SparkSession, sf_dir: str) -> DataFrame:
