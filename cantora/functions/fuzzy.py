@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def lcs(a: Column, b: Column) -> Column:
@@ -84,12 +85,12 @@ def token_set_ratio(a: Column, b: Column) -> Column:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     """``ratio`` for texts too long for the expression. Null if either is null."""
     return pd.Series([None if x is None or y is None else ratio_of(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def token_set_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else token_set_ratio_of(x, y) for x, y in zip(a, b, strict=True)], dtype=float)

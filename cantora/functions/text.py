@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space as str.split() knows it; Java's class lacks the separators 1c-1f.
 WS = r"[\s\x1c-\x1f]"
@@ -125,7 +126,7 @@ def restore_capitals(c: Column) -> Column:
     return F.array_join(F.transform(kept, lambda p: F.concat(F.upper(F.substring(p["t"], 1, 1)), F.substring(p["t"], 2, 1 << 30), p["e"])), "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Canonical composition; Spark has no such function."""
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
