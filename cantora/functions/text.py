@@ -153,7 +153,7 @@ def odd_character(c: Column) -> Column:
 
 def context_of(text: Column, hit: Column, window: int = 3) -> Column:
     """The token that holds the first ``hit`` (one character) and ``window`` tokens on both sides, joined by spaces."""
-    before = F.substring_index(text, hit, 1)
+    before = F.call_function("substring_index", text, hit, F.lit(1))
     inside = ~before.rlike(rf"(?U){WS}$") & (before != "")
     at = word_count(before) - F.when(inside, 1).otherwise(0)
     first = F.greatest(at - window, F.lit(0))
