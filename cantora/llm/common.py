@@ -64,7 +64,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Split a batch by rows so that a piece holds about ``most_bytes`` (or a single row)."""
     n = batch.num_rows
     step = max(1, int(n * most_bytes / max(1, batch.nbytes)))

@@ -31,7 +31,7 @@ BUCKETS, DIM, NONZERO, REACH = 1 << 14, 32, 4, 2
 SAMPLE, VECTOR_SAMPLE = 12_000, 4_000
 HIDDEN, EPOCHS, RATE, DECAY = 24, 400, 0.02, 1e-4
 #: Tokens whose buckets a Python worker remembers.
-CACHE = 500_000
+CACHE = 200_000
 FIGURES = 5
 
 

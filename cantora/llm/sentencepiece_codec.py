@@ -37,7 +37,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: A model larger than this isn't sent along with the tasks.
 MODEL_BYTES = 64 << 20
 #: Distinct words whose ids a Python worker remembers (two generations).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 PAIR_CACHE = 1_000_000
 #: Words up to this many characters are one window of the search, which is then run without committing.
 WINDOW = 64
