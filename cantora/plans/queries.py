@@ -328,8 +328,8 @@ def text_flags_per_source(spark, sf):
 
 @query(rf"""WITH d AS (SELECT doc_id, text, regexp_extract(text, '({ODD})', 1) AS hit FROM documents WHERE regexp_matches(text, '{ODD}')),
 w AS (SELECT *, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS tok, string_split(text, hit)[1] AS before FROM d),
-k AS (SELECT *, len(list_filter(regexp_split_to_array(before, '\s+'), lambda x: x <> '')) - CASE WHEN before <> '' AND NOT regexp_matches(before, '\s$') THEN 1 ELSE 0 END AS at FROM w)
-SELECT doc_id, hit, array_to_string(tok[greatest(at - 3, 0) + 1 : at + 4], ' ') AS context FROM k""")
+k AS (SELECT *, len(list_filter(regexp_split_to_array(before, '\s+'), lambda x: x <> '')) - CASE WHEN before <> '' AND NOT regexp_matches(before, '\s$') THEN 1 ELSE 0 END AS place FROM w)
+SELECT doc_id, hit, array_to_string(tok[greatest(place - 3, 0) + 1 : place + 4], ' ') AS context FROM k""")
 def weird_char_context(spark, sf):
     rows = read(spark, sf, "documents").select("doc_id", "text", text.odd_character(F.col("text")).alias("hit")).where("hit <> ''")
     return rows.select("doc_id", "hit", text.context_of(F.col("text"), F.col("hit")).alias("context"))
@@ -479,10 +479,11 @@ def token_set_ratio(spark, sf):
 
 @query()
 def best_substring(spark, sf):
-    """The words of each answer that are nearest to the question before it."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    rows = read(spark, sf, "conversations").withColumn("asked", F.lag("text").over(w)).where("asked is not null")
-    return rows.select("conv_id", "turn", match.best_substring("asked", "text").alias("m")).select("conv_id", "turn", "m.matched_text", F.round("m.score", 4).alias("score"))
+    """For each part name, the words nearest to it in the list of all other names of its brand and type."""
+    names = read(spark, sf, "part").select("p_name", "p_type", "p_brand").distinct()
+    lists = names.groupBy("p_type", "p_brand").agg(F.array_join(F.array_sort(F.collect_list("p_name")), " ").alias("context"))
+    rows = names.join(lists, ["p_type", "p_brand"])
+    return rows.select("p_name", "p_type", "p_brand", match.best_substring("p_name", "context").alias("m")).select("p_name", "p_type", "p_brand", "m.matched_text", F.round("m.score", 4).alias("score"))
 
 
 def timed_words(spark: SparkSession, sf: str) -> DataFrame:
