@@ -11,6 +11,9 @@ large cell is cut into tiles of at most TILE fingerprints, each pair of tiles is
 xors and counts bits of all pairs. A group gives out only the edges of a spanning forest of its
 links: connections are kept, and a thick group doesn't emit all its pairs.
 
+Similar texts (``similar_groups``, the pipeline's stage): the same comparison with a wide radius, inside bands of
+alike shingle counts, finds candidates, which whole texts confirm by the Jaccard similarity of shingle sets.
+
 Components: large-star and small-star steps over the edges until nothing moves, cutting the lineage by
 tables in the shared folder. The comparison grows with the square of the distinct fingerprints, as the
 method is exact for any radius; the pruning by half counts leaves about a quarter of the pairs.
@@ -35,20 +38,29 @@ TILE = 8192
 #: Bytes of one comparison block.
 BLOCK = 1 << 20
 BITS_AT_ONCE = 1 << 16
+#: At a Jaccard similarity of 0.8 about 10 bits are expected to differ. Measured: of 5,569 such pairs within 18 bits, 13 differ in 17 or 18.
+SIMILAR_RADIUS, SIMILAR_TILE = 18, 32768
+#: Numbers in a sketch, and pairs whose sketches are compared in one go.
+BINS, PAIRS_AT_ONCE = 64, 1 << 14
 
 
-def fingerprint(raw: bytes | None, width: int = WIDTH) -> int:
+def shingle_hashes(raw: bytes | None, width: int = WIDTH) -> np.ndarray:
+    """XXH64 of each shingle, in text order, repeats included. Empty for a text without words."""
     words = (raw or b"").lower().split()
     n = len(words)
     if not n:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     if n <= width:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
     starts = [0, *(ends[: n - width] + 1).tolist()]
     h = xxhash.xxh64_intdigest
-    hashes = np.fromiter([h(joined[s:e], SEED) for s, e in zip(starts, ends[width - 1 :].tolist(), strict=True)], np.uint64, n - width + 1)
+    return np.fromiter([h(joined[s:e], SEED) for s, e in zip(starts, ends[width - 1 :].tolist(), strict=True)], np.uint64, n - width + 1)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), BITS_AT_ONCE):
         part = hashes[at : at + BITS_AT_ONCE]
@@ -56,6 +68,10 @@ def fingerprint(raw: bytes | None, width: int = WIDTH) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(raw: bytes | None, width: int = WIDTH) -> int:
+    return majority(shingle_hashes(raw, width))
+
+
 def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, fp) per row; fp is the fingerprint as a signed long."""
 
@@ -106,47 +122,58 @@ def spanning_links(a: np.ndarray, b: np.ndarray | None, radius: int = RADIUS) ->
     return left, right
 
 
+def deal(celled: DataFrame, cut: dict[tuple[int, int], int], pairs: list[tuple[int, int, int, int]]) -> DataFrame:
+    """Deal rows of ``celled`` (p, q: the cell; fp, ...) to the tile pairs of each cell pair (p, q, r, s). ``cut``: into how many
+    tiles a cell is cut. Adds p0, q0, p1, q1, t0, t1 (the group) and side (0: first tile, 1: second)."""
+    spark = celled.sparkSession
+    plan = []
+    for p, q, r, s in pairs:
+        sizes = cut[p, q], cut[r, s]
+        plan.append((p, q, p, q, r, s, 0, *sizes))
+        if (p, q) != (r, s):
+            plan.append((r, s, p, q, r, s, 1, *sizes))
+    plan = spark.createDataFrame(plan, "p int, q int, p0 int, q0 int, p1 int, q1 int, side int, tiles0 int, tiles1 int")
+    mine = F.when(F.col("side") == 0, F.col("tiles0")).otherwise(F.col("tiles1"))
+    others = F.when(F.col("side") == 0, F.col("tiles1")).otherwise(F.col("tiles0"))
+    # a row goes to each tile of the other cell; within one cell, to the tiles from its own on, and to those before as second side
+    dealt = celled.join(F.broadcast(plan), ["p", "q"]).withColumn("t", F.pmod(F.xxhash64("fp"), mine).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), others - 1)))
+    same = (F.col("p0") == F.col("p1")) & (F.col("q0") == F.col("q1"))
+    first = F.when(same, F.least("t", "o")).when(F.col("side") == 0, F.col("t")).otherwise(F.col("o"))
+    second = F.when(same, F.greatest("t", "o")).when(F.col("side") == 0, F.col("o")).otherwise(F.col("t"))
+    side = F.when(same, (F.col("t") > F.col("o")).cast("int")).otherwise(F.col("side"))
+    return dealt.withColumns({"t0": first, "t1": second, "side": side}).drop("p", "q", "t", "o", "tiles0", "tiles1")
+
+
+GROUP = ("p0", "q0", "p1", "q1", "t0", "t1")
+
+
+def sides(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray | None]:
+    """Row positions of both tiles of a group; None as the second if a tile is compared with itself."""
+    p0, q0, p1, q1, t0, t1 = (group[c].iat[0] for c in GROUP)
+    if (p0, q0, t0) == (p1, q1, t1):
+        return np.arange(len(group)), None
+    side = group["side"].to_numpy()
+    return np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+
+
 def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Edges (u, v) between ids of ``nodes`` (rep, fp: distinct) that connect all within the radius of each other."""
-    spark = nodes.sparkSession
     half = lambda shift: F.bit_count(F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit(0xFFFFFFFF))).cast("int")
     celled = nodes.select("rep", "fp", half(0).alias("p"), half(32).alias("q"))
-    # at most 33 * 33 rows
+    # at most 33 * 33 cells, each with at most 25 others in reach
     cut = {(r["p"], r["q"]): -(-r["n"] // tile) for r in celled.groupBy("p", "q").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pairs = []
-    for (p, q), n in cut.items():
-        for dp in range(-radius, radius + 1):
-            for dq in range(abs(dp) - radius, radius - abs(dp) + 1):
-                if (m := cut.get((p + dp, q + dq))) and (dp, dq) >= (0, 0):
-                    pairs.append((p, q, p + dp, q + dq, n, m))
+    near = [(dp, dq) for dp in range(-radius, radius + 1) for dq in range(abs(dp) - radius, radius - abs(dp) + 1) if (dp, dq) >= (0, 0)]
+    pairs = [(p, q, p + dp, q + dq) for p, q in cut for dp, dq in near if (p + dp, q + dq) in cut]
     if not pairs:
-        return spark.createDataFrame([], "u long, v long")
-    # of each cell: the cells it is compared to, as first or second side; at most 1089 rows with 25 entries each
-    plan = [(p, q, p, q, r, s, 0, n, m) for p, q, r, s, n, m in pairs] + [(r, s, p, q, r, s, 1, n, m) for p, q, r, s, n, m in pairs if (p, q) != (r, s)]
-    plan = spark.createDataFrame(plan, "p int, q int, p0 int, q0 int, p1 int, q1 int, side int, n int, m int")
-    dealt = celled.join(F.broadcast(plan), ["p", "q"])
-    same = (F.col("p0") == F.col("p1")) & (F.col("q0") == F.col("q1"))
-    t = F.pmod(F.xxhash64("fp"), F.when(F.col("side") == 0, F.col("n")).otherwise(F.col("m"))).cast("int")
-    # a fingerprint goes to each tile of the other cell; within one cell, to the tiles from its own on, and to those before as second side
-    dealt = dealt.withColumn("t", t).select("rep", "fp", "p0", "q0", "p1", "q1", "side", "t", same.alias("same"), F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, F.col("m")).otherwise(F.col("n")) - 1)).alias("o"))
-    one = F.when(F.col("same"), F.least("t", "o")).when(F.col("side") == 0, F.col("t")).otherwise(F.col("o"))
-    two = F.when(F.col("same"), F.greatest("t", "o")).when(F.col("side") == 0, F.col("o")).otherwise(F.col("t"))
-    side = F.when(F.col("same"), (F.col("t") > F.col("o")).cast("int")).otherwise(F.col("side"))
-    dealt = dealt.select("p0", "q0", "p1", "q1", one.alias("t0"), two.alias("t1"), side.alias("side"), "rep", "fp")
+        return nodes.sparkSession.createDataFrame([], "u long, v long")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        fp, rep, side = group["fp"].to_numpy().view(np.uint64), group["rep"].to_numpy(), group["side"].to_numpy()
-        within = bool((group["p0"].iat[0], group["q0"].iat[0], group["t0"].iat[0]) == (group["p1"].iat[0], group["q1"].iat[0], group["t1"].iat[0]))
-        if within:
-            i, j = spanning_links(fp, None, radius)
-            return pd.DataFrame({"u": rep[i], "v": rep[j]})
-        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if not len(a) or not len(b):
-            return pd.DataFrame({"u": rep[:0], "v": rep[:0]})
-        i, j = spanning_links(fp[a], fp[b], radius)
-        return pd.DataFrame({"u": rep[a[i]], "v": rep[b[j]]})
+        fp, rep = group["fp"].to_numpy().view(np.uint64), group["rep"].to_numpy()
+        a, b = sides(group)
+        i, j = spanning_links(fp[a], None if b is None else fp[b], radius)
+        return pd.DataFrame({"u": rep[a[i]], "v": rep[a[j] if b is None else b[j]]})
 
-    return dealt.groupBy("p0", "q0", "p1", "q1", "t0", "t1").applyInPandas(compare, "u long, v long")
+    return deal(celled, cut, pairs).groupBy(*GROUP).applyInPandas(compare, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -184,10 +211,137 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, t
     return prints.join(grouped.join(real, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
-    """Of each group of near-duplicates the row with the smallest doc_id, with all columns; of rows that repeat this id, one.
+def sketch(distinct: np.ndarray) -> bytes:
+    """Of sorted distinct hashes the least in each of BINS ranges, as odd 32-bit numbers; 0 for an empty range."""
+    out = np.zeros(BINS, np.uint32)
+    if len(distinct):
+        bins = (distinct >> np.uint64(58)).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]])
+        out[bins[first]] = (distinct[first] >> np.uint64(20)).astype(np.uint32) | np.uint32(1)
+    return out.tobytes()
+
+
+def likely_links(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...] | None, radius: int, similarity: float) -> tuple[list[int], list[int]]:
+    """Positions of pairs of ``a`` and ``b`` -- each (fingerprints, shingle counts, sketches) -- that may be as similar as asked: fingerprints
+    within the radius, counts in proportion, and sketches that agree up to four standard errors below. Of pairs that are similar by three
+    standard errors above, only a spanning forest is given, and none that it connects already."""
+    (fp, size, marks), (fp2, size2, marks2) = a, b or a
+    shift = 0 if b is None else len(fp)
+    forest, left, right = Forest(len(fp) + (len(fp2) if b else 0)), [], []
+    step = max(1, BLOCK // (8 * max(1, len(fp2))))
+    for at in range(0, len(fp), step):
+        near = np.bitwise_count(fp[at : at + step, None] ^ fp2[None, :]) <= radius
+        rows, columns = np.divmod(np.flatnonzero(near), max(1, len(fp2)))
+        rows += at
+        fits = np.minimum(size[rows], size2[columns]) >= similarity * np.maximum(size[rows], size2[columns]) - 1e-9
+        if b is None:
+            fits &= rows < columns
+        rows, columns = rows[fits], columns[fits]
+        for k in range(0, len(rows), PAIRS_AT_ONCE):
+            i, j = rows[k : k + PAIRS_AT_ONCE], columns[k : k + PAIRS_AT_ONCE]
+            x, y = marks[i], marks2[j]
+            used = np.maximum(1, ((x | y) != 0).sum(1))
+            share = ((x == y) & (x != 0)).sum(1) / used
+            error = np.sqrt(similarity * (1 - similarity) / used)
+            order = np.argsort(-share, kind="stable")
+            order = order[share[order] >= similarity - 4 * error[order]]
+            sure = share >= similarity + 3 * error
+            for r, c, certain in zip(i[order].tolist(), j[order].tolist(), sure[order].tolist(), strict=True):
+                if forest.join(r, c + shift) if certain else forest.root(r) != forest.root(c + shift):
+                    left.append(r)
+                    right.append(c)
+    return left, right
+
+
+def similar_candidates(nodes: DataFrame, radius: int, similarity: float, tile: int) -> DataFrame:
+    """Pairs (u, v) of ids of ``nodes`` (rep, fp, n, sketch) that ``likely_links`` finds. Cells are bands of shingle counts, of which only
+    neighbours can be similar enough; a band of more than one tile is cut by population counts, and cells beyond the radius are skipped."""
+    spark = nodes.sparkSession
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
+    banded = nodes.where("n > 0").withColumn("p", band).withColumn("ones", F.shiftright(F.bit_count("fp"), 3).cast("int"))
+    # bands are logarithms of counts, and there are 9 groups of population counts: some hundred rows for texts of any length
+    counts = {(r["p"], r["ones"]): r["c"] for r in banded.groupBy("p", "ones").agg(F.count(F.lit(1)).alias("c")).collect()}
+    totals: dict[int, int] = {}
+    for (p, _), c in counts.items():
+        totals[p] = totals.get(p, 0) + c
+    if not totals:
+        return spark.createDataFrame([], "u long, v long")
+    large = [p for p, c in totals.items() if c > tile]
+    celled = banded.withColumn("q", F.when(F.col("p").isin(large), F.col("ones")).otherwise(-1) if large else F.lit(-1)).drop("ones")
+    cut = {(p, -1): 1 for p in totals if p not in large} | {(p, q): -(-c // tile) for (p, q), c in counts.items() if p in large}
+    apart = lambda q, s: 0 if -1 in (q, s) or q == s else 8 * abs(q - s) - 7
+    pairs = [(p, q, r, s) for p, q in cut for r, s in cut if (r == p and s >= q or r == p + 1) and apart(q, s) <= radius]
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        fp, n, rep = group["fp"].to_numpy().view(np.uint64), group["n"].to_numpy(), group["rep"].to_numpy()
+        marks = np.frombuffer(b"".join(group["sketch"]), np.uint32).reshape(-1, BINS)
+        a, b = sides(group)
+        i, j = likely_links((fp[a], n[a], marks[a]), None if b is None else (fp[b], n[b], marks[b]), radius, similarity)
+        return pd.DataFrame({"u": rep[a[i]], "v": rep[a[j] if b is None else b[j]]})
+
+    return deal(celled, cut, pairs).groupBy(*GROUP).applyInPandas(compare, "u long, v long")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Of ``pairs`` (u, v) those whose sets of shingles are as similar (Jaccard) as asked, by their whole texts."""
+    ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    found = materialize(docs.select("doc_id", "text").join(ids, "doc_id").dropDuplicates(["doc_id", "text"]))
+    one, two = found.select(F.col("doc_id").alias("u"), F.col("text").alias("left")), found.select(F.col("doc_id").alias("v"), F.col("text").alias("right"))
+
+    def make() -> Callable:
+        known: dict[bytes, np.ndarray] = {}
+
+        def shingles(raw: bytes | None) -> np.ndarray:
+            raw = raw or b""
+            if raw not in known:
+                if len(known) >= 64:
+                    known.clear()
+                known[raw] = np.unique(shingle_hashes(raw, width))
+            return known[raw]
+
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            keep = []
+            for x, y in zip(texts(b, "left"), texts(b, "right"), strict=True):
+                x, y = shingles(x), shingles(y)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            return pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+        return run
+
+    return map_batches(pairs.join(one, "u").join(two, "v").select("u", "v", "left", "right"), make, "u long, v long").distinct()
+
+
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SIMILAR_RADIUS, tile: int = SIMILAR_TILE) -> DataFrame:
+    """(doc_id, component_id) per row of ``docs`` that has an id: groups of texts linked by a Jaccard similarity of their shingle sets of
+    at least ``similarity``. Fingerprints find the pairs, sketches thin them, whole texts decide. Texts without words are alike."""
+
+    def make() -> Callable:
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            fp, n, marks = [], [], []
+            for t in texts(b):
+                h = shingle_hashes(t, width)
+                distinct = np.unique(h)
+                fp.append(majority(h))
+                n.append(len(distinct))
+                marks.append(sketch(distinct))
+            return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64()), pa.array(n, pa.int64()), pa.array(marks, pa.binary())], ["doc_id", "fp", "n", "sketch"])
+
+        return run
+
+    named = docs.where(F.col("doc_id").isNotNull())
+    prints = materialize(map_batches(named.select("doc_id", "text"), make, "doc_id long, fp long, n long, sketch binary"))
+    nodes = materialize(prints.groupBy("fp", "n", "sketch").agg(F.min("doc_id").alias("rep")))
+    pairs = materialize(similar_candidates(nodes, radius, similarity, tile).where("u <> v").distinct())
+    roots = components(verified(pairs, named, width, similarity))
+    grouped = nodes.join(roots, nodes["rep"] == roots["node"], "left").select("fp", "n", "sketch", F.coalesce("root", "rep").alias("component_id"))
+    return prints.join(grouped, ["fp", "n", "sketch"]).select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Of each group of ``similar_groups`` the row with the smallest doc_id, with all columns; of rows that repeat this id, one.
     Rows without an id can't be told apart and stay."""
-    groups = near_duplicates(docs, width, radius)
+    groups = similar_groups(docs, width, similarity)
     stay = groups.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
     return named.unionAll(docs.where(F.col("doc_id").isNull()))

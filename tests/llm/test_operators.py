@@ -127,6 +127,57 @@ def brute_components(fps):
     return [root(i) for i in range(len(fps))]
 
 
+def brute_groups(texts, similarity=0.8):
+    """{id: smallest id reachable} over links of five-word shingle sets, from all pairs."""
+    sets, up = {}, {i: i for i in texts}
+    for i, t in texts.items():
+        w = (t or "").encode().lower().split()
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    ids = sorted(sets)
+    for n, i in enumerate(ids):
+        for j in ids[n + 1 :]:
+            a, b = sets[i], sets[j]
+            if min(len(a), len(b)) >= similarity * max(len(a), len(b)) and len(a & b) >= similarity * len(a | b):
+                x, y = sorted((root(i), root(j)))
+                up[y] = x
+    return {i: root(i) for i in ids}
+
+
+def test_similar_groups(spark, docs, none):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = brute_groups({r["doc_id"]: r["text"] for r in table.collect()})
+    assert len(set(want.values())) < len(want)
+    for tile in (simhash.SIMILAR_TILE, 16):
+        assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table, tile=tile).collect()} == want
+    assert {r["doc_id"] for r in simhash.keep_one(table).select("doc_id").collect()} == set(want.values())
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(docs).collect()}
+    assert got[1] == got[2] == 1 and got[3] == got[4] == 3 and got[5] == 5
+    assert simhash.similar_groups(none).count() == 0 and simhash.keep_one(none).count() == 0
+
+
+def test_similar_copies_of_one_text(spark):
+    """Many edited copies, which are linked by some and not by others."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(500)}" for _ in range(400)]
+    copies = {}
+    for i in range(60):
+        t = list(base)
+        for _ in range(rng.randint(0, 14)):
+            t[rng.randrange(len(t))] = f"x{rng.randrange(500)}"
+        copies[i] = " ".join(t)
+    want = brute_groups(copies)
+    assert 1 < len(set(want.values())) < 60
+    df = spark.createDataFrame([*copies.items()], "doc_id long, text string")
+    for tile in (simhash.SIMILAR_TILE, 8):
+        assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df, tile=tile).collect()} == want
+
+
 def test_simhash_groups(spark, docs, none):
     rng = random.Random(4)
     base = [rng.getrandbits(64) for _ in range(8)]
@@ -249,9 +300,8 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = {i: (t, s) for i, t, _, s, _ in rows}  # without a bad label nothing is rejected
-    fps = {i: simhash.fingerprint(t.encode(), 5) for i, (t, _) in docs.items()}
-    ids = sorted(fps)
-    stay = [ids[k] for k, root in enumerate(brute_components([fps[i] for i in ids])) if k == root]
+    groups = brute_groups({i: t for i, (t, _) in docs.items()})
+    stay = [i for i, root in groups.items() if i == root]
     left = {i: (secret_scan.redacted(docs[i][0]), docs[i][1]) for i in stay}
     assert 101 not in left and "abcdefghijkl12" not in left[100][0]
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
