@@ -12,7 +12,7 @@ xors and counts bits of all pairs. A group gives out only the edges of a spannin
 links: connections are kept, and a thick group doesn't emit all its pairs.
 
 Similar texts (``similar_groups``, the pipeline's stage): the same comparison with a wide radius, inside bands of
-alike shingle counts, finds candidates, which whole texts confirm by the Jaccard similarity of shingle sets.
+alike shingle counts, joins texts into families that may hold links; inside each family the Jaccard similarity of whole shingle sets decides.
 
 Components: large-star and small-star steps over the edges until nothing moves, cutting the lineage by
 tables in the shared folder. The comparison grows with the square of the distinct fingerprints, as the
@@ -42,6 +42,8 @@ BITS_AT_ONCE = 1 << 16
 SIMILAR_RADIUS, SIMILAR_TILE = 18, 32768
 #: Numbers in a sketch, and pairs whose sketches are compared in one go.
 BINS, PAIRS_AT_ONCE = 256, 1 << 14
+#: Shingles of a family that are compared in one group at most.
+FAMILY_SHINGLES = 1 << 21
 
 
 def shingle_hashes(raw: bytes | None, width: int = WIDTH) -> np.ndarray:
@@ -221,44 +223,46 @@ def sketch(distinct: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def likely_links(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...] | None, radius: int, similarity: float) -> tuple[list[int], list[int]]:
-    """Positions of pairs of ``a`` and ``b`` -- each (fingerprints, shingle counts, sketches) -- that may be as similar as asked: fingerprints
-    within the radius, counts in proportion, and sketches that agree up to four standard errors below. Of pairs that are above by three
-    standard errors, only a spanning forest is given, and no other pair that it connects."""
+def loose_links(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...] | None, radius: int, similarity: float) -> tuple[list[int], list[int]]:
+    """Positions of a spanning forest of the pairs of ``a`` and ``b`` -- each (fingerprints, shingle counts, sketches) -- that may be as similar
+    as asked: fingerprints within the radius, counts in proportion, and sketches that agree up to four standard errors below."""
     (fp, size, marks), (fp2, size2, marks2) = a, b or a
     shift = 0 if b is None else len(fp)
     forest, left, right = Forest(len(fp) + (len(fp2) if b else 0)), [], []
     step = max(1, BLOCK // (8 * max(1, len(fp2))))
     roots = np.arange(len(forest.up))
-    for sure in (True, False):  # in the second pass, what the first has connected is passed over
-        for at in range(0, len(fp), step):
-            near = np.bitwise_count(fp[at : at + step, None] ^ fp2[None, :]) <= radius
-            rows, columns = np.divmod(np.flatnonzero(near), max(1, len(fp2)))
-            rows += at
-            fits = np.minimum(size[rows], size2[columns]) >= similarity * np.maximum(size[rows], size2[columns]) - 1e-9
-            fits &= roots[rows] != roots[columns + shift]
-            if b is None:
-                fits &= rows < columns
-            rows, columns = rows[fits], columns[fits]
-            for k in range(0, len(rows), PAIRS_AT_ONCE):
-                i, j = rows[k : k + PAIRS_AT_ONCE], columns[k : k + PAIRS_AT_ONCE]
-                x, y = marks[i], marks2[j]
-                used = np.maximum(1, ((x | y) != 0).sum(1))
-                share = ((x == y) & (x != 0)).sum(1) / used
-                # the ranges sample the union without putting back; of texts of few shingles they take most of it
-                union = np.maximum((size[i] + size2[j]) / (1 + similarity), used)
-                error = np.sqrt(similarity * (1 - similarity) / used * np.maximum((union - used) / union, 1 / union))
-                take = share >= similarity + 3 * error if sure else share >= similarity - 4 * error
-                for r, c in zip(i[take].tolist(), j[take].tolist(), strict=True):
-                    if not sure or forest.join(r, c + shift):
-                        left.append(r)
-                        right.append(c)
-        roots = np.array([forest.root(k) for k in range(len(roots))])
+    for at in range(0, len(fp), step):
+        near = np.bitwise_count(fp[at : at + step, None] ^ fp2[None, :]) <= radius
+        rows, columns = np.divmod(np.flatnonzero(near), max(1, len(fp2)))
+        rows += at
+        fits = np.minimum(size[rows], size2[columns]) >= similarity * np.maximum(size[rows], size2[columns]) - 1e-9
+        if b is None:
+            fits &= rows < columns
+        rows, columns = rows[fits], columns[fits]
+        for k in range(0, len(rows), PAIRS_AT_ONCE):
+            i, j = rows[k : k + PAIRS_AT_ONCE], columns[k : k + PAIRS_AT_ONCE]
+            apart = roots[i] != roots[j + shift]
+            i, j = i[apart], j[apart]
+            x, y = marks[i], marks2[j]
+            used = np.maximum(1, ((x | y) != 0).sum(1))
+            share = ((x == y) & (x != 0)).sum(1) / used
+            # the ranges sample the union without putting back; of texts of few shingles they take most of it
+            union = np.maximum((size[i] + size2[j]) / (1 + similarity), used)
+            error = np.sqrt(similarity * (1 - similarity) / used * np.maximum((union - used) / union, 1 / union))
+            take = share >= similarity - 4 * error
+            joined = False
+            for r, c in zip(i[take].tolist(), j[take].tolist(), strict=True):
+                if forest.join(r, c + shift):
+                    joined = True
+                    left.append(r)
+                    right.append(c)
+            if joined:
+                roots = np.array([forest.root(k) for k in range(len(roots))])
     return left, right
 
 
 def similar_candidates(nodes: DataFrame, radius: int, similarity: float, tile: int) -> DataFrame:
-    """Pairs (u, v) of ids of ``nodes`` (rep, fp, n, sketch) that ``likely_links`` finds. Cells are bands of shingle counts, of which only
+    """Pairs (u, v) of ids of ``nodes`` (rep, fp, n, sketch) that ``loose_links`` finds: they connect all candidates. Cells are bands of shingle counts, of which only
     neighbours can be similar enough; a band of more than one tile is cut by population counts, and cells beyond the radius are skipped."""
     spark = nodes.sparkSession
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
@@ -280,45 +284,95 @@ def similar_candidates(nodes: DataFrame, radius: int, similarity: float, tile: i
         fp, n, rep = group["fp"].to_numpy().view(np.uint64), group["n"].to_numpy(), group["rep"].to_numpy()
         marks = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, BINS)
         a, b = sides(group)
-        i, j = likely_links((fp[a], n[a], marks[a]), None if b is None else (fp[b], n[b], marks[b]), radius, similarity)
+        i, j = loose_links((fp[a], n[a], marks[a]), None if b is None else (fp[b], n[b], marks[b]), radius, similarity)
         return pd.DataFrame({"u": rep[a[i]], "v": rep[a[j] if b is None else b[j]]})
 
     return deal(celled, cut, pairs).groupBy(*GROUP).applyInPandas(compare, "u long, v long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Of ``pairs`` (u, v) those whose sets of shingles are as similar (Jaccard) as asked, by their whole texts."""
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    found = materialize(docs.select("doc_id", "text").join(ids, "doc_id").dropDuplicates(["doc_id", "text"]))
-    one, two = found.select(F.col("doc_id").alias("u"), F.col("text").alias("left")), found.select(F.col("doc_id").alias("v"), F.col("text").alias("right"))
+def exact_links(sets: list[np.ndarray], similarity: float) -> tuple[list[int], list[int]]:
+    """Positions of a spanning forest of all pairs of ``sets`` (sorted distinct hashes) whose Jaccard similarity is at least as asked. Each set is
+    held once against those not yet reached, by the lists of sets that hold each hash; sets reached leave the lists."""
+    size = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, word = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_inverse=True)
+    starts = np.r_[0, np.cumsum(size)]
+    waiting, left, right, queue = np.ones(len(sets), bool), [], [], []
+
+    def lists() -> tuple[np.ndarray, np.ndarray]:
+        live = np.flatnonzero(waiting[owner])
+        order = live[np.argsort(word[live], kind="stable")]
+        return owner[order], np.r_[0, np.cumsum(np.bincount(word[order], minlength=int(word.max()) + 1))]
+
+    if not len(word):
+        return left, right
+    holders, first = lists()
+    rest = listed = len(sets)
+    for seed in range(len(sets)):
+        if not waiting[seed]:
+            continue
+        waiting[seed] = False
+        rest -= 1
+        queue.append(seed)
+        while queue:
+            i = queue.pop()
+            mine = word[starts[i] : starts[i + 1]]
+            runs = first[mine + 1] - first[mine]
+            total = int(runs.sum())
+            if not total:
+                continue
+            at = np.arange(total) + np.repeat(first[mine] - np.r_[0, np.cumsum(runs)[:-1]], runs)
+            others, both = np.unique(holders[at], return_counts=True)
+            good = waiting[others] & (both >= similarity * (size[i] + size[others] - both) - 1e-9)
+            found = others[good].tolist()
+            left += [i] * len(found)
+            right += found
+            waiting[found] = False
+            queue += found
+            rest -= len(found)
+            if 2 * rest < listed:
+                holders, first = lists()
+                listed = rest
+    return left, right
 
-    def make() -> Callable:
-        known: dict[bytes, np.ndarray] = {}
 
-        def shingles(raw: bytes | None) -> np.ndarray:
-            raw = raw or b""
-            if raw not in known:
-                if len(known) >= 64:
-                    known.clear()
-                known[raw] = np.unique(shingle_hashes(raw, width))
-            return known[raw]
+def confirmed(families: DataFrame, docs: DataFrame, width: int, similarity: float, most: int = FAMILY_SHINGLES) -> DataFrame:
+    """Edges (u, v) that connect all texts of a family (``families``: node, family, n shingles) whose shingle sets are as similar as asked, by
+    whole texts. Small families share a group; one of more than ``most`` shingles is cut into parts, and each two parts are a group."""
+    spark = families.sparkSession
+    totals = families.groupBy("family").agg(F.sum("n").alias("all"))
+    shingles = totals.agg(F.sum("all")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * shingles // most))
+    large = totals.where(F.col("all") > most).select("family", F.ceil(2 * F.col("all") / most).cast("int").alias("parts"))
+    placed = families.join(large, "family", "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int"))
+    # a part meets every other; one alone in its family meets itself
+    dealt = placed.withColumn("other", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("parts") - 1), F.col("part")))))
+    keyed = dealt.select(
+        F.col("node").alias("doc_id"), F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("family"), F.lit(buckets))).otherwise(F.col("family")).alias("g"),
+        F.when(F.col("parts").isNull(), -1).otherwise(F.least("part", "other")).alias("one"), F.greatest("part", "other").alias("two"),
+    )
 
+    def make() -> Callable:
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
-            keep = []
-            for x, y in zip(texts(b, "left"), texts(b, "right"), strict=True):
-                x, y = shingles(x), shingles(y)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
-            return pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            sets = [np.unique(shingle_hashes(t, width)).tobytes() for t in texts(b)]
+            return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "hashes"])
 
         return run
 
-    return map_batches(pairs.join(one, "u").join(two, "v").select("u", "v", "left", "right"), make, "u long, v long").distinct()
+    wanted = families.select(F.col("node").alias("doc_id")).distinct()
+    sets = map_batches(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), make, "doc_id long, hashes binary")
+
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        ids = group["doc_id"].to_numpy()
+        i, j = exact_links([np.frombuffer(h, np.uint64) for h in group["hashes"]], similarity)
+        return pd.DataFrame({"u": ids[i], "v": ids[j]})
+
+    return keyed.join(sets, "doc_id").groupBy("g", "one", "two").applyInPandas(link, "u long, v long")
 
 
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SIMILAR_RADIUS, tile: int = SIMILAR_TILE) -> DataFrame:
     """(doc_id, component_id) per row of ``docs`` that has an id: groups of texts linked by a Jaccard similarity of their shingle sets of
-    at least ``similarity``. Fingerprints find the pairs, sketches thin them, whole texts decide. Texts without words are alike."""
+    at least ``similarity``. Fingerprints and sketches find families that may hold links, whole texts decide. Texts without words are alike."""
 
     def make() -> Callable:
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -336,8 +390,11 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
     named = docs.where(F.col("doc_id").isNotNull())
     prints = materialize(map_batches(named.select("doc_id", "text"), make, "doc_id long, fp long, n long, sketch binary"))
     nodes = materialize(prints.groupBy("fp", "n", "sketch").agg(F.min("doc_id").alias("rep")))
-    pairs = materialize(similar_candidates(nodes, radius, similarity, tile).where("u <> v").distinct())
-    roots = components(verified(pairs, named, width, similarity))
+    loose = components(similar_candidates(nodes, radius, similarity, tile))
+    # a node is an id: texts that share one are one node
+    members = loose.select("node", F.col("root").alias("family")).unionAll(loose.select(F.col("root").alias("node"), F.col("root").alias("family"))).distinct()
+    families = materialize(members.join(nodes.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("n")), "node"))
+    roots = components(confirmed(families, named, width, similarity))
     grouped = nodes.join(roots, nodes["rep"] == roots["node"], "left").select("fp", "n", "sketch", F.coalesce("root", "rep").alias("component_id"))
     return prints.join(grouped, ["fp", "n", "sketch"]).select("doc_id", "component_id")
 
