@@ -178,6 +178,35 @@ def test_similar_copies_of_one_text(spark):
         assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df, tile=tile).collect()} == want
 
 
+def test_links_inside_families(spark):
+    """One family, whole and cut into parts that meet pairwise, against all pairs."""
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(500)}" for _ in range(300)]
+    copies = {}
+    for i in range(40):
+        t = list(base)
+        for _ in range(rng.randint(0, 12)):
+            t[rng.randrange(len(t))] = f"x{rng.randrange(500)}"
+        copies[i] = " ".join(t)
+    want = brute_groups(copies)
+    sets = [np.unique(simhash.shingle_hashes(copies[i].encode(), 5)) for i in range(40)]
+    families = spark.createDataFrame([(i, 0, len(sets[i])) for i in range(40)], "node long, family long, n long")
+    df = spark.createDataFrame([*copies.items()], "doc_id long, text string")
+
+    def rooted(edges):
+        up = {i: i for i in range(40)}
+        for u, v in edges:
+            a, b = up[u], up[v]
+            up = {k: min(a, b) if r in (a, b) else r for k, r in up.items()}
+        return up
+
+    assert 1 < len(set(want.values())) < 40
+    assert rooted(zip(*simhash.exact_links(sets, 0.8))) == want
+    for most in (1 << 21, 4000):
+        assert rooted((r["u"], r["v"]) for r in simhash.confirmed(families, df, 5, 0.8, most).collect()) == want
+    assert simhash.exact_links([], 0.8) == ([], [])
+
+
 def test_simhash_groups(spark, docs, none):
     rng = random.Random(4)
     base = [rng.getrandbits(64) for _ in range(8)]
