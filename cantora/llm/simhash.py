@@ -11,7 +11,7 @@ large cell is cut into tiles of at most TILE fingerprints, each pair of tiles is
 xors and counts bits of all pairs. A group gives out only the edges of a spanning forest of its
 links: connections are kept, and a thick group doesn't emit all its pairs.
 
-Similar texts (``similar_groups``, the pipeline's stage): the same comparison with a wide radius, inside bands of
+Similar texts (``similar_groups``, the pipeline's stage): the same comparison of fingerprints of distinct shingles with a wide radius, inside bands of
 alike shingle counts, joins texts into families that may hold links; inside each family the Jaccard similarity of whole shingle sets decides.
 
 Components: large-star and small-star steps over the edges until nothing moves, cutting the lineage by
@@ -378,9 +378,8 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
             fp, n, marks = [], [], []
             for t in texts(b):
-                h = shingle_hashes(t, width)
-                distinct = np.unique(h)
-                fp.append(majority(h))
+                distinct = np.unique(shingle_hashes(t, width))
+                fp.append(majority(distinct))  # of the set, as the similarity is
                 n.append(len(distinct))
                 marks.append(sketch(distinct))
             return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64()), pa.array(n, pa.int64()), pa.array(marks, pa.binary())], ["doc_id", "fp", "n", "sketch"])

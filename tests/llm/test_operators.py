@@ -207,6 +207,21 @@ def test_links_inside_families(spark):
     assert simhash.exact_links([], 0.8) == ([], [])
 
 
+def test_similar_groups_of_repeated_passages(spark):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(20):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        passage = words[40:54]
+        # the same shingles, a passage repeated more often in one of the two
+        texts += [" ".join(words[:40] + passage * times + words[54:]) for times in (2, 60)]
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    want = {i: min(j for j in range(40) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])) for i in range(40)}
+    assert all(want[i] == i - i % 2 for i in range(40))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table).collect()} == want
+
+
 def test_simhash_groups(spark, docs, none):
     rng = random.Random(4)
     base = [rng.getrandbits(64) for _ in range(8)]
