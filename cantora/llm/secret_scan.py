@@ -3,7 +3,8 @@
 Base kinds are found leftmost and non-overlapping, each kind by itself; matches that are too short
 are dropped after matching. The method adds kind ``guess``: values that follow a credential word and
 a colon or equals sign, and whose cheapest explanation -- a dynamic program over words, dates,
-repeats, keyboard walks and brute force -- still takes at least 10**10 guesses.
+repeats, keyboard walks and brute force -- still takes at least 10**10 guesses. A value that lies
+wholly in a base span adds none; one that reaches further does, and the two overlap.
 
 The program is linear in the value's length: brute force costs the same for each character, runs are
 measured once from right to left, and words and dates have a longest length. Null text: as empty.
@@ -138,7 +139,7 @@ def all_spans(text: str) -> tuple[list[tuple[int, int, str]], float]:
             cost = guess_cost(value)
             most = max(most, cost)
             start, end = m.start(1), m.start(1) + len(value)
-            if cost >= MIN_LOG10_GUESSES and classes(value) > 1 and not any(s < end and start < e for s, e, _ in spans):
+            if cost >= MIN_LOG10_GUESSES and classes(value) > 1 and not any(s <= start and end <= e for s, e, _ in spans):
                 more.append((start, end, "guess"))
         if more:
             spans = sorted(spans + more, key=lambda s: (s[0], KINDS.index(s[2])))
