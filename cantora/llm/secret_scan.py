@@ -4,7 +4,8 @@ Base kinds are found leftmost and non-overlapping, each kind by itself; matches
 are dropped after matching. The method adds kind ``guess``: values that follow a credential word and
 a colon or equals sign, and whose cheapest explanation -- a dynamic program over words, dates,
 repeats, keyboard walks and brute force -- still takes at least 10**10 guesses. A value that lies
-wholly in a base span adds none; one that reaches further does, and the two overlap.
+wholly in a base span adds none; one that reaches further does, and the two overlap. Guesses alone
+decide, whatever characters a value is made of: a rare word of ten or more letters that the list doesn't explain is a guess span.
 
 The program is linear in the value's length: brute force costs the same for each character, runs are
 measured once from right to left, and words and dates have a longest length. Null text: as empty.
@@ -56,7 +57,42 @@ COMMON_WORDS = (
     "placeholder", "passwort", "geheim", "hallo", "schatz", "motdepasse", "bonjour", "soleil", "contrasena", "amor", "hola", "estrella", "january", "february", "march",
     "april", "june", "july", "august", "september", "october", "november", "december", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday", "key",
 )
-RANK = {w: i + 1 for i, w in reversed([*enumerate(COMMON_WORDS)])}
+#: Words and endings that prose and settings put after a credential word, after the common ones in rank.
+OTHER_WORDS = """
+ing tion ation ations sion ment ments able ible ness less ful ist ism ity ities ally ions ers est ized ised ize ise ously ous ive ively ance ence ency ical ology ship ward wise
+authentication authorization authenticate authorize authorized authenticated verification verify verified validation validate validated configuration configure configured
+connection connections connected application applications administrator administration environment variable variables development production staging deployment deploy repository
+certificate certificates encryption encrypted encrypt decryption decrypt generation generated generate generator management manager manage credential credentials information document
+documents documentation implementation implement implemented description parameter parameters expression expressions character characters alphanumeric letters letter number numbers
+numeric digits digit symbol symbols special minimum maximum length required requirement requirements recommended protected protection protect security secure secured insecure
+confidential private public personal identity identifier identification permission permissions privilege privileges registration register registered subscription transaction
+translation organization organisation international national university government department community communication technology technical technique scientific research researcher
+understanding understand understood responsible responsibility relationship opportunity experience experienced knowledge education educational professional performance important
+importance available availability unavailable different difference differences following followed follow according accordance including included include additional addition
+everything everyone something someone anything anyone nothing nobody somewhere anywhere together another other others between through throughout without within because before after
+always never sometimes usually probably possibly certainly immediately automatically automatic manually manual temporary temporarily permanent permanently expired expires expiration
+expire invalid incorrect correct missing unknown undefined undecided unspecified specified specify provided provide provider providers received receive receiver request requests
+requested response responses session sessions cookie cookies header headers content contents message messages address addresses account accounts customer customers username network
+networks software hardware machine machines platform platforms program programs programming process processes processing processor function functions method methods object objects
+instance instances interface interfaces structure structures element elements attribute attributes property properties reference references resource resources package packages
+library libraries module modules component components container containers cluster clusters storage backup directory directories filename pathname location locations position
+positions condition conditions operation operations operator operators option options setting settings preference preferences selection selected select change changed changes
+changing replace replaced replacement remove removed delete deleted create created creating creation update updated updates insert inserted enter entered entering input output
+question questions answer answers problem problems solution solutions example examples sentence sentences paragraph language languages english german french spanish chapter
+history historical nature natural culture cultural society social political politics economic economy business industry industrial company companies market markets product
+products service services consumer consumers quality quantity measure measures measurement distance temperature pressure computer computers mobile telephone phone email
+website internet online offline client clients browser window windows keyboard screen display button menu
+people person children family friend friends father mother brother sister house street garden country mountain river ocean forest animal horse battery staple coffee
+orange purple yellow silver golden diamond crystal thunder lightning rainbow chocolate butterfly elephant tiger eagle falcon phoenix warrior knight wizard magic
+morning evening night today tomorrow yesterday weekend holiday birthday christmas wedding journey travel adventure
+thing things think thought thoughts reason reasons place places world words word first second third last next previous current present future past large small great little
+strong simple single double general specific particular several various complete completely entire entirely original originally independent independently
+benutzer benutzername anmeldung verbindung sicherheit datenbank verwaltung einstellung einstellungen erforderlich vergessen ungültig geschützt beispiel schlüssel eingeben bestätigen wiederholen
+zugang zugangsdaten nachricht anwendung umgebung deutschland freiheit freundschaft sommer herbst frühling schmetterling wissenschaft gesellschaft geschichte
+utilisateur identifiant connexion sécurité obligatoire confirmer oublié authentification développement exemple bibliothèque administrateur environnement français amitié papillon
+usuario contraseña seguridad conexión administrador obligatorio confirmar olvidada autenticación desarrollo ejemplo configuración información mariposa importante diferente siguiente
+""".split()
+RANK = {w: i + 1 for i, w in reversed([*enumerate((*COMMON_WORDS, *OTHER_WORDS))])}
 LONGEST_WORD = max(map(len, RANK))
 LEET = str.maketrans("430157$@!", "aeoistsai")
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
@@ -109,10 +145,6 @@ def guess_cost(value: str) -> float:
     return cost[n]
 
 
-def classes(value: str) -> int:
-    return sum((any(c.islower() for c in value), any(c.isupper() for c in value[1:]), any(c.isdigit() for c in value), any(not c.isalnum() for c in value[:-1])))
-
-
 def base_spans(text: str, low: str | None = None) -> list[tuple[int, int, str]]:
     """(start, end, kind) by start, then kind as listed. ``low``: the lower-cased text, for quick refusal."""
     out: list[tuple[int, int, str]] = []
@@ -139,7 +171,7 @@ def all_spans(text: str) -> tuple[list[tuple[int, int, str]], float]:
             cost = guess_cost(value)
             most = max(most, cost)
             start, end = m.start(1), m.start(1) + len(value)
-            if cost >= MIN_LOG10_GUESSES and classes(value) > 1 and not any(s <= start and end <= e for s, e, _ in spans):
+            if cost >= MIN_LOG10_GUESSES and not any(s <= start and end <= e for s, e, _ in spans):
                 more.append((start, end, "guess"))
         if more:
             spans = sorted(spans + more, key=lambda s: (s[0], KINDS.index(s[2])))

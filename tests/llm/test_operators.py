@@ -58,6 +58,14 @@ def test_guess_cost():
     assert secret_scan.all_spans("password: changeme")[0] == []
 
 
+def test_guesses_alone_decide():
+    for value in ("qhwtzkvpmxrbnd", "73920184655012", "QHWTZKVPMXRBND", "qhwtzkvpmx", "Qhwtzkvpmxr!"):
+        text = f"the passphrase = {value} end"
+        assert secret_scan.written(secret_scan.all_spans(text)[0]) == f"guess:17:{17 + len(value)}" and secret_scan.redacted(text) == "the passphrase = [secret] end"
+    for value in ("authentication", "configuration", "administrator", "ENVIRONMENT", "Benutzername", "thisthing", "20191231", "qwertyuiop", "zzzzzzzzzzzzzzzz", "password123"):
+        assert secret_scan.all_spans(f"passphrase: {value} end")[0] == []
+
+
 def test_guess_reaches_beyond_base_spans():
     text = "password = abcdefghijkl$9!Zq#rT7x end"
     assert secret_scan.written(secret_scan.all_spans(text)[0]) == "assign:0:23,guess:11:33" and secret_scan.redacted(text) == "[secret] end"
