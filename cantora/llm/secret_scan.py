@@ -42,7 +42,10 @@ HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LENGTH)
 
 #: Words that make what follows a credential, in the corpus' languages.
 CONTEXT_WORDS = ("password", "passwd", "passphrase", "passwort", "kennwort", "passcode", "contraseña", "clave", "pwd", "pass", "secret", "credential", "credentials", "token", "api_?key", "access_?key", "private_?key", "auth", "bearer")
-CONTEXT = re.compile(rf"""(?:{_either_case(CONTEXT_WORDS)})["']?[\x20\t]{{0,4}}[:=][\x20\t]{{0,4}}["']?([^\s"']+)""")
+#: The value: up to the matching quote after an opening one (over lines too; a backslash takes the next character), else up to a blank or quote.
+CONTEXT = re.compile(
+    rf"""(?:{_either_case(CONTEXT_WORDS)})["']?[\x20\t]*+[:=][\x20\t]*+(?:"([^"\\]*+(?:\\.[^"\\]*+)*+)"|'([^'\\]*+(?:\\.[^'\\]*+)*+)'|["']?([^\s"']++))""", re.DOTALL
+)
 #: What a lower-cased text must hold for one of the patterns to match.
 ASSIGN_HINTS = ("passw", "secret", "token", "api")
 CONTEXT_HINTS = ("pass", "secret", "token", "key", "contraseña", "clave", "pwd", "kennwort", "credential", "auth", "bearer")
@@ -164,14 +167,21 @@ def all_spans(text: str) -> tuple[list[tuple[int, int, str]], float]:
     most = 0.0
     if any(x in low for x in CONTEXT_HINTS):
         more = []
-        for m in CONTEXT.finditer(text):
-            value = m[1].rstrip(".,;:)]}")
+        at = 0
+        while m := CONTEXT.search(text, at):
+            start, at = m.span(m.lastindex)
+            value = m[m.lastindex]
+            if m.lastindex < 3:
+                # what is in quotes is searched too: a stray quote mustn't hide a credential behind it
+                at = start
+            else:
+                value = value.rstrip(".,;:)]}")
             if len(value) < MIN_LENGTH:
                 continue
             cost = guess_cost(value)
             most = max(most, cost)
-            start, end = m.start(1), m.start(1) + len(value)
-            if cost >= MIN_LOG10_GUESSES and not any(s <= start and end <= e for s, e, _ in spans):
+            end = start + len(value)
+            if cost >= MIN_LOG10_GUESSES and not any(s <= start and end <= e for s, e, _ in (*spans, *more[-1:])):
                 more.append((start, end, "guess"))
         if more:
             spans = sorted(spans + more, key=lambda s: (s[0], KINDS.index(s[2])))

@@ -66,6 +66,20 @@ def test_guesses_alone_decide():
         assert secret_scan.all_spans(f"passphrase: {value} end")[0] == []
 
 
+def test_guess_values_after_blanks_and_in_quotes():
+    redacted = secret_scan.redacted
+    assert redacted("pwd          =\t        kT9$wq2Zx!7bc end") == "pwd          =\t        [secret] end"
+    assert redacted('passphrase: "correct horse battery staple" end') == 'passphrase: "[secret]" end'
+    assert redacted("passphrase: 'it\\'s a \"correct\" horse battery staple' end") == "passphrase: '[secret]' end"
+    assert redacted('private_key = "MIIEvQ$IBADANBg\nkqhkiG9w0BAQEF" end') == 'private_key = "[secret]" end'
+    # quotes that nothing closes, or that close far behind
+    assert redacted('pwd = "kT9$wq2Zx!7bc and more') == 'pwd = "[secret] and more'
+    assert redacted("pwd = '\npwd: kT9$wq2Zx!7bc\nit's").count("kT9$") == 0
+    assert redacted('pwd = "" end') == 'pwd = "" end' and secret_scan.all_spans('passphrase: "january"')[0] == []
+    for text in ("pwd" + " " * 10**6, "pwd =" * 10**5 + " " * 10**6, 'pwd="' * 10**5, "pwd='x " * 10**5, 'pwd="\\' * 10**5):
+        secret_scan.all_spans(text)
+
+
 def test_guess_reaches_beyond_base_spans():
     text = "password = abcdefghijkl$9!Zq#rT7x end"
     assert secret_scan.written(secret_scan.all_spans(text)[0]) == "assign:0:23,guess:11:33" and secret_scan.redacted(text) == "[secret] end"
