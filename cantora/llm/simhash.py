@@ -12,7 +12,9 @@ xors and counts bits of all pairs. A group gives out only the edges of a spannin
 links: connections are kept, and a thick group doesn't emit all its pairs.
 
 Similar texts (``similar_groups``, the pipeline's stage): the same comparison of fingerprints of distinct shingles with a wide radius, inside bands of
-alike shingle counts, joins texts into families that may hold links; inside each family the Jaccard similarity of whole shingle sets decides.
+alike shingle counts, joins texts into families that may hold links. Links outside the radius are found by first shingles: in any order of all shingles, two sets as similar
+as asked share one of the first n - ceil(similarity * n) + 1 of each. Families that such a shingle may link are joined, by bounds that hold in every case.
+Inside each family the Jaccard similarity of whole shingle sets decides.
 
 Components: large-star and small-star steps over the edges until nothing moves, cutting the lineage by
 tables in the shared folder. The comparison grows with the square of the distinct fingerprints, as the
@@ -44,6 +46,10 @@ SIMILAR_RADIUS, SIMILAR_TILE = 18, 32768
 BINS, PAIRS_AT_ONCE = 256, 1 << 14
 #: Shingles of a family that are compared in one group at most.
 FAMILY_SHINGLES = 1 << 21
+#: Documents in which common shingles are looked for, how many of them a common shingle is in, and how many are kept. They change the order of work, not the links.
+COMMON_SAMPLE, COMMON_LEAST, COMMON_MOST = 10_000, 10, 1 << 16
+#: First shingles that are compared in one group, about.
+PREFIX_ROWS = 1 << 18
 
 
 def shingle_hashes(raw: bytes | None, width: int = WIDTH) -> np.ndarray:
@@ -290,6 +296,104 @@ def similar_candidates(nodes: DataFrame, radius: int, similarity: float, tile: i
     return deal(celled, cut, pairs).groupBy(*GROUP).applyInPandas(compare, "u long, v long")
 
 
+def common_hashes(docs: DataFrame, width: int) -> np.ndarray:
+    """Sorted hashes of the shingles that many of some 10,000 documents hold."""
+
+    def make() -> Callable:
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [np.unique(shingle_hashes(t, width)) for t in texts(b)]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64), pa.int64())], ["hash"])
+
+        return run
+
+    every = max(1, docs.count() // COMMON_SAMPLE)
+    found = map_batches(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text"), make, "hash long").groupBy("hash").agg(F.count(F.lit(1)).alias("c"))
+    rows = found.where(F.col("c") >= COMMON_LEAST).orderBy(F.desc("c"), "hash").limit(COMMON_MOST).collect()
+    return np.sort(np.array([r["hash"] for r in rows], np.int64).view(np.uint64))
+
+
+def first_hashes(distinct: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """The first n - ceil(similarity * n) + 1 of sorted distinct hashes, common ones last."""
+    last = np.isin(distinct, common, assume_unique=True)
+    return np.concatenate([distinct[~last], distinct[last]])[: len(distinct) - int(np.ceil(similarity * len(distinct) - 1e-9)) + 1]
+
+
+def meetings(token: np.ndarray, family: np.ndarray, n: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (i, j) of the pairs of rows, sorted by token and family, that share a token but no family, with counts in proportion."""
+    new = np.r_[True, token[1:] != token[:-1]]
+    ends = lambda starts: np.repeat(np.r_[starts[1:], len(token)], np.diff(np.r_[starts, len(token)]))
+    stop, j = ends(np.flatnonzero(new)), ends(np.flatnonzero(new | np.r_[True, family[1:] != family[:-1]]))
+    i = np.arange(len(token))
+    while True:
+        more = j < stop[i]
+        i, j = i[more], j[more]
+        if not len(i):
+            return
+        fits = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
+        yield i[fits], j[fits]
+        j = j + 1
+
+
+def most_apart(sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """How many hashes may be in only one of two sets that are as similar as asked and have so many hashes together."""
+    return sizes * ((1 - similarity) / (1 + similarity)) + 1e-6
+
+
+def prefix_links(nodes: DataFrame, firsts: DataFrame, families: DataFrame, similarity: float) -> DataFrame:
+    """Edges (u, v) between ids of ``nodes`` (rep, n, sketch) that join all families (``families``: node, family; others stand alone) between which texts may be as
+    similar as asked. ``firsts``: doc_id, n and first hashes. No link is missed: counts, sketches and the number of first hashes shared only exclude what can't be similar."""
+    spark = nodes.sparkSession
+    total = nodes.agg(F.sum((F.col("n") * (1 - similarity)).cast("long") + 1)).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PREFIX_ROWS))
+    reps = nodes.where("n > 0").select(F.col("rep").alias("doc_id")).distinct().join(families.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    owned = firsts.where("n > 0").join(reps.withColumn("family", F.coalesce("family", "doc_id")), "doc_id")
+
+    def make() -> Callable:
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            tokens = [np.frombuffer(x, np.int64) for x in b.column("first").to_pylist()]
+            times = [len(x) for x in tokens]
+            spread = lambda name: pa.array(np.repeat(b.column(name).to_numpy(zero_copy_only=False), times), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([*tokens, np.empty(0, np.int64)]), pa.int64()), spread("doc_id"), spread("family"), spread("n")], ["token", "rep", "family", "n"])
+
+        return run
+
+    schema = "token long, rep long, family long, n long"
+    rows = map_batches(owned.select("doc_id", "family", "n", "first"), make, schema)
+    g = F.pmod(F.xxhash64("token"), F.lit(buckets))
+    ordered = lambda group: group.iloc[np.lexsort((group["family"].to_numpy(), group["token"].to_numpy()))]
+    columns = ("token", "family", "n")
+
+    def meeting(group: pd.DataFrame) -> pd.DataFrame:
+        group = ordered(group)
+        keep = np.zeros(len(group), bool)
+        for i, j in meetings(*(group[c].to_numpy() for c in columns), similarity):
+            keep[i] = keep[j] = True
+        return group[["token", "rep", "family", "n"]][keep]
+
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        group = ordered(group)
+        marks = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, BINS)
+        n, rep = group["n"].to_numpy(), group["rep"].to_numpy()
+        pairs = [np.empty((0, 4), np.int64)]
+        for i, j in meetings(*(group[c].to_numpy() for c in columns), similarity):
+            for k in range(0, len(i), PAIRS_AT_ONCE):
+                a, b = i[k : k + PAIRS_AT_ONCE], j[k : k + PAIRS_AT_ONCE]
+                # where the least hashes of a range differ, one of them is in only one of the sets
+                take = (marks[a] != marks[b]).sum(1) <= most_apart(n[a] + n[b], similarity)
+                a, b = a[take], b[take]
+                a, b = np.where(rep[a] < rep[b], a, b), np.where(rep[a] < rep[b], b, a)
+                pairs.append(np.stack([rep[a], rep[b], n[a], n[b]], 1))
+        found, times = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
+        return pd.DataFrame({**dict(zip(("u", "v", "nu", "nv"), found.T, strict=True)), "times": times})
+
+    met = rows.withColumn("g", g).groupBy("g").applyInPandas(meeting, schema)
+    marked = met.join(nodes.select("rep", "n", "sketch"), ["rep", "n"])
+    pairs = marked.withColumn("g", g).groupBy("g").applyInPandas(link, "u long, v long, nu long, nv long, times long").groupBy("u", "v", "nu", "nv").agg(F.sum("times").alias("times"))
+    # sets so similar share this many hashes; of those, the first hashes of the set whose last one comes first can lack only as many as that set has unshared
+    both = F.ceil((F.col("nu") + F.col("nv")) * (similarity / (1 + similarity)) - 1e-6)
+    return pairs.where(F.col("times") >= both + 1 - F.ceil(F.greatest("nu", "nv") * similarity - 1e-9)).select("u", "v")
+
+
 def exact_links(sets: list[np.ndarray], similarity: float) -> tuple[list[int], list[int]]:
     """Positions of a spanning forest of all pairs of ``sets`` (sorted distinct hashes) whose Jaccard similarity is at least as asked. Each set is
     held once against those not yet reached, by the lists of sets that hold each hash; sets reached leave the lists."""
@@ -372,25 +476,31 @@ def confirmed(families: DataFrame, docs: DataFrame, width: int, similarity: floa
 
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SIMILAR_RADIUS, tile: int = SIMILAR_TILE) -> DataFrame:
     """(doc_id, component_id) per row of ``docs`` that has an id: groups of texts linked by a Jaccard similarity of their shingle sets of
-    at least ``similarity``. Fingerprints and sketches find families that may hold links, whole texts decide. Texts without words are alike."""
+    at least ``similarity``. Fingerprints and sketches, then first shingles, find families that may hold links, whole texts decide. Texts without words are alike."""
+    named = docs.where(F.col("doc_id").isNotNull())
+    common = common_hashes(named, width)
 
     def make() -> Callable:
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
-            fp, n, marks = [], [], []
+            fp, n, marks, first = [], [], [], []
             for t in texts(b):
                 distinct = np.unique(shingle_hashes(t, width))
                 fp.append(majority(distinct))  # of the set, as the similarity is
                 n.append(len(distinct))
                 marks.append(sketch(distinct))
-            return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64()), pa.array(n, pa.int64()), pa.array(marks, pa.binary())], ["doc_id", "fp", "n", "sketch"])
+                first.append(first_hashes(distinct, common, similarity).tobytes())
+            columns = [b.column("doc_id"), pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64()), pa.array(n, pa.int64()), pa.array(marks, pa.binary()), pa.array(first, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "n", "sketch", "first"])
 
         return run
 
-    named = docs.where(F.col("doc_id").isNotNull())
-    prints = materialize(map_batches(named.select("doc_id", "text"), make, "doc_id long, fp long, n long, sketch binary"))
+    prints = materialize(map_batches(named.select("doc_id", "text"), make, "doc_id long, fp long, n long, sketch binary, first binary"))
     nodes = materialize(prints.groupBy("fp", "n", "sketch").agg(F.min("doc_id").alias("rep")))
     loose = components(similar_candidates(nodes, radius, similarity, tile))
     # a node is an id: texts that share one are one node
+    near = loose.select("node", F.col("root").alias("family")).unionAll(loose.select(F.col("root").alias("node"), F.col("root").alias("family"))).distinct()
+    extra = prefix_links(nodes, prints.select("doc_id", "n", "first"), near, similarity)
+    loose = components(loose.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(extra))
     members = loose.select("node", F.col("root").alias("family")).unionAll(loose.select(F.col("root").alias("node"), F.col("root").alias("family"))).distinct()
     families = materialize(members.join(nodes.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("n")), "node"))
     roots = components(confirmed(families, named, width, similarity))

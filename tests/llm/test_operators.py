@@ -252,6 +252,26 @@ def test_similar_groups_of_repeated_passages(spark):
     assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table).collect()} == want
 
 
+def test_similar_groups_beyond_the_radius(spark):
+    """Pairs of similarity 0.8 exactly whose fingerprints are farther apart than the radius, and fingerprints that find none."""
+    rng, texts = random.Random(5), []
+    while len(texts) < 40:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((8, 12, 16, 40)))]
+        n = len(words) - 4
+        # n - n/5 shingles of the text stay: one text is the start of the other
+        pair = [" ".join(words), " ".join(words[: len(words) - n // 5])]
+        distance = (simhash.fingerprint(pair[0].encode(), 5) ^ simhash.fingerprint(pair[1].encode(), 5)).bit_count()
+        if n >= 5 and distance > simhash.SIMILAR_RADIUS or n < 5:
+            texts += pair
+    want = brute_groups(dict(enumerate(texts)))
+    assert len(set(want.values())) < 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df).collect()} == want
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = brute_groups({r["doc_id"]: r["text"] for r in table.collect()})
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table, radius=-1).collect()} == want
+
+
 def test_simhash_groups(spark, docs, none):
     rng = random.Random(4)
     base = [rng.getrandbits(64) for _ in range(8)]
