@@ -73,15 +73,17 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def runs(records: DataFrame) -> DataFrame:
-    """(leaf, page_id, length, sha256, copies): equal records of an id together."""
-    hashed = records.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("sha256"))
+    """(leaf, page_id, length, sha256, copies, places): equal records of an id together. places: hashes of their paths and offsets, summed; null if ``records`` has none."""
+    at = [F.coalesce(F.col(c), F.lit(-1)) if c == "offset" else F.col(c) for c in ("path", "offset") if c in records.columns]
+    place = F.xxhash64(*at) if "offset" in records.columns else F.lit(None).cast("long")
+    hashed = records.select("page_id", place.alias("place"), F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("sha256"))
     leaf = F.coalesce(F.col("page_id"), -1 - F.pmod(F.xxhash64("sha256"), F.lit(NULL_LEAVES)))
-    return hashed.groupBy("page_id", "sha256", "length").agg(F.count(F.lit(1)).alias("copies")).withColumn("leaf", leaf)
+    return hashed.groupBy("page_id", "sha256", "length").agg(F.count(F.lit(1)).alias("copies"), F.sum(F.col("place").cast("decimal(38,0)")).alias("places")).withColumn("leaf", leaf)
 
 
 def tree(found: DataFrame, levels: int) -> DataFrame:
     """(level, node, hash) of all nodes. Level 0: a leaf for each id."""
-    total = lambda salt: F.sum(F.xxhash64(F.lit(salt), "sha256", "copies", "length").cast("decimal(38,0)"))
+    total = lambda salt: F.sum(F.xxhash64(F.lit(salt), "sha256", "copies", "length", "places").cast("decimal(38,0)"))
     level = found.groupBy(F.col("leaf").alias("node")).agg(F.sha2(F.concat_ws(":", F.count(F.lit(1)), total(1), total(2), total(3)), 256).alias("hash"))
     out = level.select(F.lit(0).alias("level"), "node", "hash")
     for k in range(1, levels + 1):
@@ -108,7 +110,10 @@ def descend(a: DataFrame, b: DataFrame, levels: int) -> DataFrame:
 def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     """A row for each different record (page_id, content) of either replica of (page_id, record): its segment, the offset in
     the replica that has it, length, sha256, copies, and status: intact, damaged (the second has the id, but not this
-    record as often), missing (it lacks the id), extra (only the second has the record)."""
+    record as often), missing (it lacks the id), extra (only the second has the record). Replicas that both have a stored offset (and path, as seen from the replica's
+root) are held to them too: moved (the second has the record as often, but at other offsets); the offset given is always that of the layout by id."""
+    if ("offset" in first.columns, "path" in first.columns) != ("offset" in second.columns, "path" in second.columns):
+        raise ValueError("only one of the replicas has stored offsets or paths")
     a, b = materialize(runs(first)), materialize(runs(second))
     most = a.unionAll(b).agg(F.max(F.abs("leaf"))).first()[0] or 0
     levels = max(1, -(-int(most).bit_length() // FANOUT_BITS))
@@ -120,10 +125,10 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     marked = place(a).join(bad.select(F.col("node").alias("leaf"), F.lit(True).alias("differs")), "leaf", "left")
     # only what lies under differing leaves is compared record by record
     there = b.join(bad, F.col("leaf") == F.col("node"), "left_semi")
-    same = there.select("leaf", "sha256", "copies", F.lit(True).alias("same"))
+    same = there.select("leaf", "sha256", "copies", F.lit(True).alias("same"), F.col("places").alias("other"))
     ids = there.select("leaf", F.lit(True).alias("id_there")).distinct()
     out = marked.join(same, ["leaf", "sha256", "copies"], "left").join(ids, "leaf", "left")
-    status = F.when(F.col("differs").isNull() | F.col("same").isNotNull(), "intact").when(F.col("id_there").isNotNull(), "damaged").otherwise("missing")
+    status = F.when(F.col("differs").isNull() | F.col("same").isNotNull() & F.col("places").eqNullSafe(F.col("other")), "intact").when(F.col("same").isNotNull(), "moved").when(F.col("id_there").isNotNull(), "damaged").otherwise("missing")
     columns = ["page_id", "segment", "offset", "length", "sha256", "copies"]
     extra = place(b).join(bad, F.col("leaf") == F.col("node"), "left_semi").join(a.select("leaf", "sha256"), ["leaf", "sha256"], "left_anti")
     return out.select(*columns, status.alias("status")).unionAll(extra.select(*columns, F.lit("extra").alias("status")))

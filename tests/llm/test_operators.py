@@ -404,3 +404,18 @@ def test_pipeline_against_brute_force(spark, tmp_path):
         assert r["round_trip"] and r["decoded_sha256"] == hashlib.sha256(left[r["doc_id"]][0].encode()).hexdigest()
         by_id[r["doc_id"]] = by_id.get(r["doc_id"], 0) + 1
     assert set(by_id) <= set(left) and max(by_id.values()) <= 3
+
+
+def test_fixity_of_stored_offsets(spark):
+    rows = [(i, f"record {i % 3}".encode(), "a.warc", 10 * i) for i in range(40)]
+    other = list(rows)
+    other[7], other[30] = (*rows[7][:3], 300), (*rows[30][:3], 70)  # swapped
+    other[12] = (*rows[12][:3], 121)  # shifted
+    other[20] = (*rows[20][:2], "b.warc", 200)
+    first, second = (spark.createDataFrame(r, "page_id long, record binary, path string, offset long") for r in (rows, other))
+    got = {r["page_id"]: r["status"] for r in fixity.audit(first, second).collect()}
+    assert got == {i: "moved" if i in (7, 12, 20, 30) else "intact" for i in range(40)}
+    plain = first.select("page_id", "record")
+    assert {r["status"] for r in fixity.audit(plain, plain).collect()} == {"intact"}
+    with pytest.raises(ValueError):
+        fixity.audit(first, plain)
