@@ -45,6 +45,15 @@ def release(df: DataFrame) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Rows of a few numbers that are broadcast at most: some tens of megabytes.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, a written table of a few numeric columns, with a hint to broadcast it if it has at most ``most`` rows; beyond that the join shuffles."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def crc_mod(column: str, n: int):
     """crc32 of the id's decimal text, modulo n: the fixed folds of the classifiers."""
     return F.crc32(F.col(column).cast("string")) % n

@@ -4,21 +4,24 @@ Fingerprints: A-Z is lower-cased, words are runs of other than ASCII white space
 words (repeats included) are hashed by XXH64 (seed 42); a bit is set if it is set in over half the
 hashes. A text of fewer words is one shingle, one without words has fingerprint zero. Null: as empty.
 
-Links: equal fingerprints collapse to one row first, so copies cost nothing. Distinct fingerprints are
-dealt into cells by the population counts of their two halves; two fingerprints within the radius lie
-in cells whose counts differ by no more than the radius in sum, and only those are compared. A
-large cell is cut into tiles of at most TILE fingerprints, each pair of tiles is one group, where numpy
-xors and counts bits of all pairs. A group gives out only the edges of a spanning forest of its
-links: connections are kept, and a thick group doesn't emit all its pairs.
+Links (``links``): equal fingerprints collapse to one row first, so copies cost nothing. Two fingerprints within the
+radius agree wholly in one of radius + 1 blocks of bits, so a fingerprint goes to one tile for each
+block -- radius + 1 copies, however many rows there are -- and numpy xors and counts bits of all pairs of a tile whose population counts differ by no more than
+the radius. A block's first bits, as many as give tiles of about TILE / 4, are the tile's key; what still exceeds TILE
+is cut by population count and hash, and pairs of such tiles beyond the radius are skipped. A group gives out only the edges
+of a spanning forest of its links: connections are kept, and a thick group doesn't emit all its pairs.
 
 Similar texts (``similar_groups``, the pipeline's stage): the same comparison of fingerprints of distinct shingles with a wide radius, inside bands of
 alike shingle counts, joins texts into families that may hold links. Links outside the radius are found by first shingles: in any order of all shingles, two sets as similar
 as asked share one of the first n - ceil(similarity * n) + 1 of each. Families that such a shingle may link are joined, by bounds that hold in every case.
-Inside each family the Jaccard similarity of whole shingle sets decides.
+Inside each family the Jaccard similarity of whole shingle sets decides. No link is lost. With so wide a radius no block helps, so this comparison grows with the square of
+the different texts in a band of counts.
 
 Components: large-star and small-star steps over the edges until nothing moves, cutting the lineage by
-tables in the shared folder. The comparison grows with the square of the distinct fingerprints, as the
-method is exact for any radius; the pruning by half counts leaves about a quarter of the pairs.
+tables in the shared folder.
+
+Nulls: a null text is an empty one; a null id takes part and is none in the results. Texts without words are alike. Repeated rows, equal texts and equal
+fingerprints are one node; of ties the smallest id counts. An empty table gives no rows. Only ``doc_id`` and ``text`` are read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -29,10 +32,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantora.llm.common import map_batches, materialize, release, table, texts
+from cantora.llm.common import broadcast_if_small, map_batches, materialize, release, table, texts
 
 SEED, WIDTH, RADIUS = 42, 3, 3
 #: Fingerprints in a tile.
@@ -40,16 +43,16 @@ TILE = 8192
 #: Bytes of one comparison block.
 BLOCK = 1 << 20
 BITS_AT_ONCE = 1 << 16
-#: At a Jaccard similarity of 0.8 about 10 bits are expected to differ. Measured: of 5,569 such pairs within 18 bits, 13 differ in 17 or 18.
-SIMILAR_RADIUS, SIMILAR_TILE = 18, 32768
+#: At a Jaccard similarity of 0.8 about 10 bits are expected to differ. The radius decides which of two exact ways finds a link, not whether it is found.
+SIMILAR_RADIUS, SIMILAR_TILE = 18, 8192
 #: Numbers in a sketch, and pairs whose sketches are compared in one go.
 BINS, PAIRS_AT_ONCE = 256, 1 << 14
 #: Shingles of a family that are compared in one group at most.
 FAMILY_SHINGLES = 1 << 21
 #: Documents in which common shingles are looked for, how many of them a common shingle is in, and how many are kept. They change the order of work, not the links.
 COMMON_SAMPLE, COMMON_LEAST, COMMON_MOST = 10_000, 10, 1 << 16
-#: First shingles that are compared in one group, about.
-PREFIX_ROWS = 1 << 18
+#: First shingles that are held in one group, about: packed, and as rows with sketches.
+PREFIX_ROWS, MET_ROWS = 1 << 18, 1 << 15
 
 
 def shingle_hashes(raw: bytes | None, width: int = WIDTH) -> np.ndarray:
@@ -114,37 +117,43 @@ class Forest:
 
 
 def spanning_links(a: np.ndarray, b: np.ndarray | None, radius: int = RADIUS) -> tuple[list[int], list[int]]:
-    """Positions (into a, into b) of a spanning forest of the links between ``a`` and ``b``; b None: within ``a``."""
+    """Positions (into a, into b) of a spanning forest of the links between ``a`` and ``b``; b None: within ``a``. Rows go by population count, so that
+    a block of rows meets only those whose counts are within the radius."""
     other = a if b is None else b
+    rows_by, columns_by = (np.argsort(np.bitwise_count(x), kind="stable") for x in (a, other))
+    x, y = a[rows_by], other[columns_by]
+    ones = np.bitwise_count(y).astype(np.int64)
     forest = Forest(len(a) + (0 if b is None else len(b)))
     shift = 0 if b is None else len(a)
     left, right = [], []
-    step = max(1, BLOCK // (8 * max(1, len(other))))
-    for at in range(0, len(a), step):
-        near = np.bitwise_count(a[at : at + step, None] ^ other[None, :]) <= radius
-        rows, columns = np.divmod(np.flatnonzero(near), len(other))
-        for i, j in zip((rows + at).tolist(), columns.tolist(), strict=True):
-            if (b is not None or i < j) and forest.join(i, j + shift):
-                left.append(i)
-                right.append(j)
+    at = 0
+    while at < len(x):
+        # so many rows that rows times columns is a block
+        stop = min(len(x), at + max(1, BLOCK // (8 * max(1, len(y)))))
+        low, high = np.searchsorted(ones, int(np.bitwise_count(x[at])) - radius), np.searchsorted(ones, int(np.bitwise_count(x[stop - 1])) + radius, "right")
+        if high > low:
+            near = np.bitwise_count(x[at:stop, None] ^ y[None, low:high]) <= radius
+            rows, columns = np.divmod(np.flatnonzero(near), high - low)
+            for i, j in zip(rows_by[rows + at].tolist(), columns_by[columns + low].tolist(), strict=True):
+                if (b is not None or i < j) and forest.join(i, j + shift):
+                    left.append(i)
+                    right.append(j)
+        at = stop
     return left, right
 
 
-def deal(celled: DataFrame, cut: dict[tuple[int, int], int], pairs: list[tuple[int, int, int, int]]) -> DataFrame:
-    """Deal rows of ``celled`` (p, q: the cell; fp, ...) to the tile pairs of each cell pair (p, q, r, s). ``cut``: into how many
-    tiles a cell is cut. Adds p0, q0, p1, q1, t0, t1 (the group) and side (0: first tile, 1: second)."""
-    spark = celled.sparkSession
-    plan = []
-    for p, q, r, s in pairs:
-        sizes = cut[p, q], cut[r, s]
-        plan.append((p, q, p, q, r, s, 0, *sizes))
-        if (p, q) != (r, s):
-            plan.append((r, s, p, q, r, s, 1, *sizes))
-    plan = spark.createDataFrame(plan, "p int, q int, p0 int, q0 int, p1 int, q1 int, side int, tiles0 int, tiles1 int")
+def deal(celled: DataFrame, cells: DataFrame, reach: DataFrame, tile: int) -> DataFrame:
+    """Deal rows of ``celled`` (p, q: the cell; fp, ...) to pairs of tiles. ``cells``: (p, q, n: its rows); a cell is cut into tiles of about ``tile`` rows. ``reach``: (p, q, r, s), each
+    pair of cells to compare, in one order. Adds p0, q0, p1, q1, t0, t1 (the group) and side (0: first tile, 1: second)."""
+    cut = cells.select("p", "q", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    pairs = reach.join(cut.withColumnRenamed("tiles", "tiles0"), ["p", "q"]).join(cut.select(F.col("p").alias("r"), F.col("q").alias("s"), F.col("tiles").alias("tiles1")), ["r", "s"])
+    named = pairs.select(F.col("p").alias("p0"), F.col("q").alias("q0"), F.col("r").alias("p1"), F.col("s").alias("q1"), "tiles0", "tiles1")
+    twice = named.where("p0 <> p1 or q0 <> q1").select(F.col("p1").alias("p"), F.col("q1").alias("q"), F.lit(1).alias("side"), *named.columns)
+    plan = named.select(F.col("p0").alias("p"), F.col("q0").alias("q"), F.lit(0).alias("side"), *named.columns).unionAll(twice)
     mine = F.when(F.col("side") == 0, F.col("tiles0")).otherwise(F.col("tiles1"))
     others = F.when(F.col("side") == 0, F.col("tiles1")).otherwise(F.col("tiles0"))
     # a row goes to each tile of the other cell; within one cell, to the tiles from its own on, and to those before as second side
-    dealt = celled.join(F.broadcast(plan), ["p", "q"]).withColumn("t", F.pmod(F.xxhash64("fp"), mine).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), others - 1)))
+    dealt = celled.join(broadcast_if_small(materialize(plan)), ["p", "q"]).withColumn("t", F.pmod(F.xxhash64("fp"), mine).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), others - 1)))
     same = (F.col("p0") == F.col("p1")) & (F.col("q0") == F.col("q1"))
     first = F.when(same, F.least("t", "o")).when(F.col("side") == 0, F.col("t")).otherwise(F.col("o"))
     second = F.when(same, F.greatest("t", "o")).when(F.col("side") == 0, F.col("o")).otherwise(F.col("t"))
@@ -164,24 +173,41 @@ def sides(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray | None]:
     return np.flatnonzero(side == 0), np.flatnonzero(side == 1)
 
 
+def blocks(radius: int) -> list[tuple[int, int]]:
+    """(shift, bits) of radius + 1 blocks that make up the 64 bits."""
+    ends = [64 * k // (radius + 1) for k in range(radius + 2)]
+    return [(s, e - s) for s, e in zip(ends, ends[1:], strict=False)]
+
+
 def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Edges (u, v) between ids of ``nodes`` (rep, fp: distinct) that connect all within the radius of each other."""
-    half = lambda shift: F.bit_count(F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit(0xFFFFFFFF))).cast("int")
-    celled = nodes.select("rep", "fp", half(0).alias("p"), half(32).alias("q"))
-    # at most 33 * 33 cells, each with at most 25 others in reach
-    cut = {(r["p"], r["q"]): -(-r["n"] // tile) for r in celled.groupBy("p", "q").agg(F.count(F.lit(1)).alias("n")).collect()}
-    near = [(dp, dq) for dp in range(-radius, radius + 1) for dq in range(abs(dp) - radius, radius - abs(dp) + 1) if (dp, dq) >= (0, 0)]
-    pairs = [(p, q, p + dp, q + dq) for p, q in cut for dp, dq in near if (p + dp, q + dq) in cut]
-    if not pairs:
-        return nodes.sparkSession.createDataFrame([], "u long, v long")
+    rows = nodes.count()
+    # as many bits of a block as bring tiles down to a fourth of the bound, if they are dealt evenly
+    wanted = max(0, (4 * rows // tile).bit_length())
+    keys = []
+    for k, (shift, bits) in enumerate(blocks(radius)):
+        used = min(bits, wanted)
+        value = F.shiftrightunsigned("fp", shift + bits - used).bitwiseAND(F.lit((1 << used) - 1)) if used else F.lit(0).cast("long")
+        keys.append(value + (k << 48))
+    # p: block and value
+    keyed = nodes.select("rep", "fp", F.explode(F.array(*keys)).alias("p"))
+    # at most (radius + 1) << wanted of them, of which those above the bound are few
+    large = materialize(keyed.groupBy("p").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile).select("p"))
+    schema, any_large = "u long, v long", not large.isEmpty()
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         fp, rep = group["fp"].to_numpy().view(np.uint64), group["rep"].to_numpy()
-        a, b = sides(group)
+        a, b = sides(group) if "t0" in group else (np.arange(len(group)), None)
         i, j = spanning_links(fp[a], None if b is None else fp[b], radius)
         return pd.DataFrame({"u": rep[a[i]], "v": rep[a[j] if b is None else b[j]]})
 
-    return deal(celled, cut, pairs).groupBy(*GROUP).applyInPandas(compare, "u long, v long")
+    if not any_large:
+        return keyed.groupBy("p").applyInPandas(compare, schema)
+    whole = keyed.join(broadcast_if_small(large), "p", "left_anti").groupBy("p").applyInPandas(compare, schema)
+    celled = keyed.join(broadcast_if_small(large), "p", "left_semi").withColumn("q", F.bit_count("fp").cast("int"))
+    cells = materialize(celled.groupBy("p", "q").agg(F.count(F.lit(1)).alias("n")))
+    reach = cells.select("p", "q", F.col("p").alias("r"), F.explode(F.sequence(F.col("q"), F.col("q") + radius)).alias("s"))
+    return whole.unionAll(deal(celled, cells, reach, tile).groupBy(*GROUP).applyInPandas(compare, schema))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -282,9 +308,11 @@ def similar_candidates(nodes: DataFrame, radius: int, similarity: float, tile: i
         return spark.createDataFrame([], "u long, v long")
     large = [p for p, c in totals.items() if c > tile]
     celled = banded.withColumn("q", F.when(F.col("p").isin(large), F.col("ones")).otherwise(-1) if large else F.lit(-1)).drop("ones")
-    cut = {(p, -1): 1 for p in totals if p not in large} | {(p, q): -(-c // tile) for (p, q), c in counts.items() if p in large}
+    sizes = {(p, -1): c for p, c in totals.items() if p not in large} | {(p, q): c for (p, q), c in counts.items() if p in large}
     apart = lambda q, s: 0 if -1 in (q, s) or q == s else 8 * abs(q - s) - 7
-    pairs = [(p, q, r, s) for p, q in cut for r, s in cut if (r == p and s >= q or r == p + 1) and apart(q, s) <= radius]
+    pairs = [(p, q, r, s) for p, q in sizes for r, s in sizes if (r == p and s >= q or r == p + 1) and apart(q, s) <= radius]
+    cells = spark.createDataFrame([(*c, n) for c, n in sizes.items()], "p int, q int, n long")
+    reach = spark.createDataFrame(pairs, "p int, q int, r int, s int")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         fp, n, rep = group["fp"].to_numpy().view(np.uint64), group["n"].to_numpy(), group["rep"].to_numpy()
@@ -293,7 +321,7 @@ def similar_candidates(nodes: DataFrame, radius: int, similarity: float, tile: i
         i, j = loose_links((fp[a], n[a], marks[a]), None if b is None else (fp[b], n[b], marks[b]), radius, similarity)
         return pd.DataFrame({"u": rep[a[i]], "v": rep[a[j] if b is None else b[j]]})
 
-    return deal(celled, cut, pairs).groupBy(*GROUP).applyInPandas(compare, "u long, v long")
+    return deal(celled, cells, reach, tile).groupBy(*GROUP).applyInPandas(compare, "u long, v long")
 
 
 def common_hashes(docs: DataFrame, width: int) -> np.ndarray:
@@ -339,27 +367,50 @@ def most_apart(sizes: np.ndarray, similarity: float) -> np.ndarray:
     return sizes * ((1 - similarity) / (1 + similarity)) + 1e-6
 
 
-def prefix_links(nodes: DataFrame, firsts: DataFrame, families: DataFrame, similarity: float) -> DataFrame:
-    """Edges (u, v) between ids of ``nodes`` (rep, n, sketch) that join all families (``families``: node, family; others stand alone) between which texts may be as
-    similar as asked. ``firsts``: doc_id, n and first hashes. No link is missed: counts, sketches and the number of first hashes shared only exclude what can't be similar."""
-    spark = nodes.sparkSession
-    total = nodes.agg(F.sum((F.col("n") * (1 - similarity)).cast("long") + 1)).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PREFIX_ROWS))
-    reps = nodes.where("n > 0").select(F.col("rep").alias("doc_id")).distinct().join(families.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    owned = firsts.where("n > 0").join(reps.withColumn("family", F.coalesce("family", "doc_id")), "doc_id")
+def shared_firsts(owned: DataFrame, total: int) -> DataFrame:
+    """(token, rep, n): the first hashes that more than one row of ``owned`` (rep, n, first: as bytes) holds. ``total``: how many there are, about. Hashes travel as packed
+    arrays, one row for each batch and bucket, and not as rows of their own. Of a hash the bucket and 32 more bits are kept: hashes that share them count as one,
+    which brings up more candidates and loses none."""
+    buckets = min(1 << 30, max(1, -(-total // PREFIX_ROWS), int(owned.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
     def make() -> Callable:
-        def run(b: pa.RecordBatch) -> pa.RecordBatch:
-            tokens = [np.frombuffer(x, np.int64) for x in b.column("first").to_pylist()]
-            times = [len(x) for x in tokens]
-            spread = lambda name: pa.array(np.repeat(b.column(name).to_numpy(zero_copy_only=False), times), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([*tokens, np.empty(0, np.int64)]), pa.int64()), spread("doc_id"), spread("family"), spread("n")], ["token", "rep", "family", "n"])
+        def run(b: pa.RecordBatch) -> pa.RecordBatch | None:
+            held = [np.frombuffer(x, np.uint64) for x in b.column("first").to_pylist()]
+            times = [len(x) for x in held]
+            tokens = np.concatenate([*held, np.empty(0, np.uint64)])
+            if not len(tokens):
+                return None
+            spread = lambda name: np.repeat(b.column(name).to_numpy(zero_copy_only=False), times)
+            g = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(g, kind="stable")
+            starts = np.flatnonzero(np.r_[True, np.diff(g[order]) > 0])
+            cut = lambda x: pa.array([p.tobytes() for p in np.split(x[order], starts[1:])], pa.binary())
+            columns = [pa.array(g[order][starts], pa.int64()), cut(tokens.astype(np.uint32)), cut(spread("rep")), cut(spread("n").astype(np.uint32))]
+            return pa.RecordBatch.from_arrays(columns, ["g", "token", "rep", "n"])
 
         return run
 
-    schema = "token long, rep long, family long, n long"
-    rows = map_batches(owned.select("doc_id", "family", "n", "first"), make, schema)
-    g = F.pmod(F.xxhash64("token"), F.lit(buckets))
+    def met(group: pa.Table) -> pa.Table:
+        whole = lambda name, kind: np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
+        token, rep, n = whole("token", np.uint32), whole("rep", np.int64), whole("n", np.uint32)
+        order = np.argsort(token, kind="stable")
+        same = token[order][1:] == token[order][:-1]
+        keep = order[np.r_[same, False] | np.r_[False, same]] if len(order) else order
+        named = (group.column("g")[0].as_py() << 32) + token[keep].astype(np.int64)
+        return pa.table({"token": named, "rep": rep[keep], "n": n[keep].astype(np.int64)})
+
+    packed = map_batches(owned.select("rep", "n", "first"), make, "g long, token binary, rep binary, n binary")
+    return packed.groupBy("g").applyInArrow(met, "token long, rep long, n long")
+
+
+def prefix_links(nodes: DataFrame, firsts: DataFrame, families: DataFrame, similarity: float) -> DataFrame:
+    """Edges (u, v) between ids of ``nodes`` (rep, n, sketch) that join all families (``families``: node, family; others stand alone) between which texts may be as
+    similar as asked. ``firsts``: (rep, n, first) for each of ``nodes``. No link is missed: counts, sketches and the number of first hashes shared only exclude what can't be similar."""
+    spark = nodes.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = nodes.agg(F.sum((F.col("n") * (1 - similarity)).cast("long") + 1)).first()[0] or 0
+    shared = shared_firsts(firsts.where("n > 0"), total)
+    rows = shared.join(families.withColumnRenamed("node", "rep"), "rep", "left").withColumn("family", F.coalesce("family", "rep")).select("token", "rep", "family", "n")
     ordered = lambda group: group.iloc[np.lexsort((group["family"].to_numpy(), group["token"].to_numpy()))]
     columns = ("token", "family", "n")
 
@@ -386,9 +437,11 @@ def prefix_links(nodes: DataFrame, firsts: DataFrame, families: DataFrame, simil
         found, times = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
         return pd.DataFrame({**dict(zip(("u", "v", "nu", "nv"), found.T, strict=True)), "times": times})
 
-    met = rows.withColumn("g", g).groupBy("g").applyInPandas(meeting, schema)
-    marked = met.join(nodes.select("rep", "n", "sketch"), ["rep", "n"])
-    pairs = marked.withColumn("g", g).groupBy("g").applyInPandas(link, "u long, v long, nu long, nv long, times long").groupBy("u", "v", "nu", "nv").agg(F.sum("times").alias("times"))
+    dealt = lambda df, count: df.withColumn("g", F.pmod(F.xxhash64("token"), F.lit(max(partitions, -(-count // MET_ROWS))))).groupBy("g")
+    # the groups of the first pass hold no sketches, so rows of some ten times as many hashes fit
+    met = materialize(dealt(rows, total // 10).applyInPandas(meeting, "token long, rep long, family long, n long"))
+    marked = met.join(nodes.select("rep", "sketch"), "rep")
+    pairs = dealt(marked, met.count()).applyInPandas(link, "u long, v long, nu long, nv long, times long").groupBy("u", "v", "nu", "nv").agg(F.sum("times").alias("times"))
     # sets so similar share this many hashes; of those, the first hashes of the set whose last one comes first can lack only as many as that set has unshared
     both = F.ceil((F.col("nu") + F.col("nv")) * (similarity / (1 + similarity)) - 1e-6)
     return pairs.where(F.col("times") >= both + 1 - F.ceil(F.greatest("nu", "nv") * similarity - 1e-9)).select("u", "v")
@@ -442,7 +495,7 @@ def exact_links(sets: list[np.ndarray], similarity: float) -> tuple[list[int], l
 
 def confirmed(families: DataFrame, docs: DataFrame, width: int, similarity: float, most: int = FAMILY_SHINGLES) -> DataFrame:
     """Edges (u, v) that connect all texts of a family (``families``: node, family, n shingles) whose shingle sets are as similar as asked, by
-    whole texts. Small families share a group; one of more than ``most`` shingles is cut into parts, and each two parts are a group."""
+    whole texts (``docs``: node, text). Small families share a group; one of more than ``most`` shingles is cut into parts, and each two parts are a group."""
     spark = families.sparkSession
     totals = families.groupBy("family").agg(F.sum("n").alias("all"))
     shingles = totals.agg(F.sum("all")).first()[0] or 0
@@ -452,33 +505,35 @@ def confirmed(families: DataFrame, docs: DataFrame, width: int, similarity: floa
     # a part meets every other; one alone in its family meets itself
     dealt = placed.withColumn("other", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("parts") - 1), F.col("part")))))
     keyed = dealt.select(
-        F.col("node").alias("doc_id"), F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("family"), F.lit(buckets))).otherwise(F.col("family")).alias("g"),
+        "node", F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("family"), F.lit(buckets))).otherwise(F.col("family")).alias("g"),
         F.when(F.col("parts").isNull(), -1).otherwise(F.least("part", "other")).alias("one"), F.greatest("part", "other").alias("two"),
     )
 
     def make() -> Callable:
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
             sets = [np.unique(shingle_hashes(t, width)).tobytes() for t in texts(b)]
-            return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "hashes"])
+            return pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
         return run
 
-    wanted = families.select(F.col("node").alias("doc_id")).distinct()
-    sets = map_batches(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), make, "doc_id long, hashes binary")
+    sets = map_batches(docs.join(broadcast_if_small(families.select("node").distinct()), "node", "left_semi").select("node", "text"), make, "node long, hashes binary")
 
     def link(group: pd.DataFrame) -> pd.DataFrame:
-        ids = group["doc_id"].to_numpy()
+        ids = group["node"].to_numpy()
         i, j = exact_links([np.frombuffer(h, np.uint64) for h in group["hashes"]], similarity)
         return pd.DataFrame({"u": ids[i], "v": ids[j]})
 
-    return keyed.join(sets, "doc_id").groupBy("g", "one", "two").applyInPandas(link, "u long, v long")
+    return keyed.join(sets, "node").groupBy("g", "one", "two").applyInPandas(link, "u long, v long")
 
 
-def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SIMILAR_RADIUS, tile: int = SIMILAR_TILE) -> DataFrame:
-    """(doc_id, component_id) per row of ``docs`` that has an id: groups of texts linked by a Jaccard similarity of their shingle sets of
-    at least ``similarity``. Fingerprints and sketches, then first shingles, find families that may hold links, whole texts decide. Texts without words are alike."""
-    named = docs.where(F.col("doc_id").isNotNull())
-    common = common_hashes(named, width)
+def stand_in(digest: Column) -> Column:
+    """A negative id below -(1 << 61) for a text whose own id won't do."""
+    return -F.shiftrightunsigned(digest, 2) - (1 << 61)
+
+
+def rooted(docs: DataFrame, width: int, similarity: float, radius: int = SIMILAR_RADIUS, tile: int = SIMILAR_TILE) -> DataFrame:
+    """(doc_id, digest, root) per row of ``docs``: ``digest`` of its text, and a number for its group. A written table. Ids are above -(1 << 61)."""
+    common = common_hashes(docs, width)
 
     def make() -> Callable:
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -489,32 +544,61 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
                 n.append(len(distinct))
                 marks.append(sketch(distinct))
                 first.append(first_hashes(distinct, common, similarity).tobytes())
-            columns = [b.column("doc_id"), pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64()), pa.array(n, pa.int64()), pa.array(marks, pa.binary()), pa.array(first, pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "n", "sketch", "first"])
+            columns = [b.column("doc_id"), b.column("digest"), pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64()), pa.array(n, pa.int64()), pa.array(marks, pa.binary()), pa.array(first, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "fp", "n", "sketch", "first"])
 
         return run
 
-    prints = materialize(map_batches(named.select("doc_id", "text"), make, "doc_id long, fp long, n long, sketch binary, first binary"))
-    nodes = materialize(prints.groupBy("fp", "n", "sketch").agg(F.min("doc_id").alias("rep")))
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
+    prints = materialize(map_batches(hashed, make, "doc_id long, digest long, fp long, n long, sketch binary, first binary"))
+    # a node is an id; ids of several texts, and rows without one, go by their text instead
+    ids = prints.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b"), F.count(F.lit(1)).alias("c"))
+    odd = materialize(ids.where("c > 1 or doc_id is null").select("doc_id", (F.col("a") != F.col("b")).alias("many")))
+    repeats = not odd.isEmpty()
+
+    def noded(rows: DataFrame) -> DataFrame:
+        rows = rows.join(odd, "doc_id", "left") if repeats else rows.withColumn("many", F.lit(None).cast("boolean"))
+        return rows.withColumn("node", F.when(F.col("doc_id").isNull() | F.col("many"), stand_in(F.col("digest"))).otherwise(F.col("doc_id"))).drop("many")
+
+    once = lambda rows: rows.dropDuplicates(["node"]) if repeats else rows
+
+    own = noded(prints)
+    nodes = materialize(own.groupBy("fp", "n", "sketch").agg(F.min("node").alias("rep")))
     loose = components(similar_candidates(nodes, radius, similarity, tile))
-    # a node is an id: texts that share one are one node
-    near = loose.select("node", F.col("root").alias("family")).unionAll(loose.select(F.col("root").alias("node"), F.col("root").alias("family"))).distinct()
-    extra = prefix_links(nodes, prints.select("doc_id", "n", "first"), near, similarity)
+    members = lambda found: found.select("node", F.col("root").alias("family")).unionAll(found.select(F.col("root").alias("node"), F.col("root").alias("family")).distinct())
+    firsts = own.join(broadcast_if_small(nodes.select(F.col("rep").alias("node"))), "node", "left_semi")
+    firsts = once(firsts).select(F.col("node").alias("rep"), "n", "first")
+    extra = prefix_links(nodes, firsts, members(loose), similarity)
     loose = components(loose.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(extra))
-    members = loose.select("node", F.col("root").alias("family")).unionAll(loose.select(F.col("root").alias("node"), F.col("root").alias("family"))).distinct()
-    families = materialize(members.join(nodes.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("n")), "node"))
-    roots = components(confirmed(families, named, width, similarity))
-    grouped = nodes.join(roots, nodes["rep"] == roots["node"], "left").select("fp", "n", "sketch", F.coalesce("root", "rep").alias("component_id"))
-    return prints.join(grouped, ["fp", "n", "sketch"]).select("doc_id", "component_id")
+    families = materialize(members(loose).join(nodes.select(F.col("rep").alias("node"), "n"), "node"))
+    roots = components(confirmed(families, once(noded(hashed)), width, similarity))
+    grouped = nodes.join(roots, nodes["rep"] == roots["node"], "left").select("fp", "n", "sketch", F.coalesce("root", "rep").alias("root"))
+    return materialize(prints.select("doc_id", "digest", "fp", "n", "sketch").join(grouped, ["fp", "n", "sketch"]).select("doc_id", "digest", "root"))
+
+
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SIMILAR_RADIUS, tile: int = SIMILAR_TILE) -> DataFrame:
+    """(doc_id, component_id) per row of ``docs``: groups of texts linked by a Jaccard similarity of their shingle sets of at least ``similarity``, by their smallest id (null
+    if no row of a group has one). Fingerprints and sketches, then first shingles, find families that may hold links, whole texts decide."""
+    rows = rooted(docs, width, similarity, radius, tile)
+    return rows.join(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Of each group of ``similar_groups`` the row with the smallest doc_id, with all columns; of rows that repeat this id, one.
-    Rows without an id can't be told apart and stay."""
-    groups = similar_groups(docs, width, similarity)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return named.unionAll(docs.where(F.col("doc_id").isNull()))
+    """Of each group of ``similar_groups`` one row, with all columns: the one with the smallest doc_id (rows without an id come last), and of different texts
+    under this id the one with the smallest digest. Of rows that repeat both, one stays."""
+    rows = rooted(docs, width, similarity)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest"))
+    marked = rows.join(rows.groupBy("root").agg(first.alias("stay")), "root")
+    stays = F.col("doc_id").eqNullSafe(F.col("stay.doc_id")) & (F.col("digest") == F.col("stay.digest"))
+    go = marked.where(~stays).select("doc_id", "digest").distinct()
+    lost = broadcast_if_small(materialize(go.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))))
+    left = docs.withColumn("_own", F.xxhash64("text")).join(lost, (F.col("_own") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    again = materialize(marked.where(stays).groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("digest").alias("_digest")))
+    if again.isEmpty():
+        return left.select(docs.columns)
+    repeats = broadcast_if_small(again.distinct())
+    once = left.join(repeats, F.col("_own") == F.col("_digest"), "left_semi").dropDuplicates(["doc_id", "_own"])
+    return left.join(repeats, F.col("_own") == F.col("_digest"), "left_anti").select(docs.columns).unionAll(once.select(docs.columns))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -221,7 +221,7 @@ def test_links_inside_families(spark):
     want = brute_groups(copies)
     sets = [np.unique(simhash.shingle_hashes(copies[i].encode(), 5)) for i in range(40)]
     families = spark.createDataFrame([(i, 0, len(sets[i])) for i in range(40)], "node long, family long, n long")
-    df = spark.createDataFrame([*copies.items()], "doc_id long, text string")
+    df = spark.createDataFrame([*copies.items()], "node long, text string")
 
     def rooted(edges):
         up = {i: i for i in range(40)}
@@ -272,6 +272,44 @@ def test_similar_groups_beyond_the_radius(spark):
     assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table, radius=-1).collect()} == want
 
 
+def test_similar_rows_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a, "x"), (1, b, "x"), (1, a, "x"), (2, a + " more", "x"), (2, c, "x"), (None, b, "x"), (None, c + " more", "x"), (None, "alone", "x"), (None, "alone", "x"), (3, None, "x"), (3, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    got = sorted(((r["doc_id"], r["component_id"]) for r in simhash.similar_groups(df).collect()), key=str)
+    assert got == sorted([(1, 1), (1, 1), (1, 1), (2, 1), (2, 2), (None, 1), (None, 2), (None, None), (None, None), (3, 3), (3, 3)], key=str)
+    kept = simhash.keep_one(df)
+    rows = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert kept.columns == df.columns and [r for r in rows if r[0] != 3] == sorted([(1, a), (1, b), (2, c), (None, "alone")], key=str)
+    assert len([r for r in rows if r[0] == 3]) == 1
+
+
+def test_links_send_few_copies(spark):
+    """Each fingerprint goes to radius + 1 tiles, however small tiles are, and links equal those of all pairs."""
+    rng = np.random.default_rng(3)
+    fps = rng.integers(0, 1 << 63, 1500, dtype=np.int64)
+    near = fps[:400] ^ (np.int64(1) << rng.integers(0, 63, 400)) ^ (np.int64(1) << rng.integers(0, 63, 400))
+    fps = np.unique(np.r_[fps, near])
+    nodes = spark.createDataFrame([(i, int(f)) for i, f in enumerate(fps)], "rep long, fp long")
+    got = {r["node"]: r["root"] for r in simhash.components(simhash.links(nodes, tile=64)).collect()}
+    assert [got.get(i, i) for i in range(len(fps))] == brute_components([int(f) for f in fps])
+    plan = simhash.links(nodes, tile=64)._jdf.queryExecution().toString()
+    assert len(simhash.blocks(3)) == 4 and sum(b for _, b in simhash.blocks(3)) == 64 and "Cartesian" not in plan and "NestedLoop" not in plan
+    for radius in (0, 1, 5):
+        got = {r["node"]: r["root"] for r in simhash.components(simhash.links(nodes, radius, tile=300)).collect()}
+        assert len(set(got.values())) <= 400
+
+
+def test_simhash_fingerprint_by_hand():
+    import xxhash
+
+    for text in ("", "One", "a B", "a b c d a b c d", "x\x0by  z\tx y z\n", "é É ñ 日本 語 x y"):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+        assert simhash.fingerprint(text.encode()) == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
 def test_simhash_groups(spark, docs, none):
     rng = random.Random(4)
     base = [rng.getrandbits(64) for _ in range(8)]
