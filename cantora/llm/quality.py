@@ -1,15 +1,19 @@
 """Quality classifier: random-indexing word vectors pooled by document, and a two-layer network.
 
 Every token bucket has a sparse random index vector, made from a seed. Over a bounded sample of
-labelled documents a bucket's context vector sums the index vectors of its neighbours; scaled to unit
+labelled documents a bucket's context vector sums the index vectors of its neighbours within their document, in whole numbers; scaled to unit
 length it is the bucket's word vector (buckets that the sample lacks keep their index vector). A
 document is the mean of its tokens' vectors with a few figures of the same pooling (length of the
 mean, number and repetition of tokens). A network with one hidden layer is trained in numpy on the
 driver, and a temperature, fitted on a part of the sample that it doesn't train on, calibrates its
 probabilities. Every text is scored whole.
 
-Bounds: SAMPLE labelled documents are learned from, VECTOR_SAMPLE of them for the vectors. Without
-two classes to learn from, all scores are the smoothed share of label 1.
+Bounds: SAMPLE labelled documents are learned from, VECTOR_SAMPLE of them for the vectors; both are chosen by a hash of the id. Without
+two classes to learn from, all scores are the smoothed share of label 1. The same tables give the same scores, however they are partitioned.
+
+Null texts count as empty, and an empty text has a score like any other. A null id is in no fold that is learned from. Labels other than 0 and 1 and null labels
+are passed over, repeated labels of an id count as the largest, and of repeated ids the smallest text is learned from; every row is scored. Equal texts get equal
+scores. Empty tables: no rows, or nothing learned. Columns of other names, ``score`` and ``predicted`` among them, are not read.
 """
 
 from __future__ import annotations
@@ -53,28 +57,35 @@ class Buckets:
             return np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
 
 
-def index_vectors(seed: int = 9) -> np.ndarray:
+def index_signs(seed: int = 9) -> np.ndarray:
+    """For each bucket NONZERO entries of 1 or -1, all others 0."""
     rng = np.random.default_rng(seed)
-    out = np.zeros((BUCKETS, DIM), np.float32)
+    out = np.zeros((BUCKETS, DIM), np.int64)
     at = rng.random((BUCKETS, DIM)).argsort(1)[:, :NONZERO]
-    np.put_along_axis(out, at, rng.choice(np.float32([-1, 1]), (BUCKETS, NONZERO)), 1)
-    return out / np.float32(NONZERO**0.5)
+    np.put_along_axis(out, at, rng.choice([-1, 1], (BUCKETS, NONZERO)), 1)
+    return out
 
 
-def contexts(ids: np.ndarray, index: np.ndarray, into: np.ndarray) -> None:
-    """Add the index vectors of the neighbours of each token to its row."""
+def contexts(texts: list[np.ndarray], signs: np.ndarray, into: np.ndarray) -> None:
+    """Add the signs of the neighbours of each token to its row; each of ``texts`` (bucket ids) by itself. All in whole numbers, so that
+    neither the order of texts nor their batches change a sum."""
+    gap = np.full(REACH, -1)
+    ids = np.concatenate([np.empty(0, np.int64), *(x for t in texts for x in (t, gap))])
     for k in range(1, REACH + 1):
-        for word, near in ((ids[:-k], ids[k:]), (ids[k:], ids[:-k])):
-            pairs, n = np.unique(word * BUCKETS + near, return_counts=True)
+        one, two = ids[:-k], ids[k:]
+        inside = (one >= 0) & (two >= 0)
+        one, two = one[inside], two[inside]
+        pairs, n = np.unique(np.concatenate([one * BUCKETS + two, two * BUCKETS + one]), return_counts=True)
+        if len(pairs):
             word, near = np.divmod(pairs, BUCKETS)
-            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else []
-            if len(word):
-                into[word[starts]] += np.add.reduceat(index[near] * n[:, None].astype(np.float32), starts, 0)
+            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            into[word[starts]] += np.add.reduceat(signs[near] * n[:, None], starts, 0)
 
 
-def unit(vectors: np.ndarray, index: np.ndarray) -> np.ndarray:
-    length = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return np.where(length > 0, vectors / np.where(length > 0, length, 1), index).astype(np.float32)
+def unit(sums: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """Word vectors: sums of unit length; a bucket without any has its index vector."""
+    length = np.linalg.norm(sums, axis=1, keepdims=True)
+    return np.where(length > 0, sums / np.where(length > 0, length, 1), signs / NONZERO**0.5).astype(np.float32)
 
 
 def pooled(ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -153,20 +164,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vector_sampl
     # at most `sample` rows of 12 bytes: a proven bound for the broadcast
     chosen = chosen.orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("quality").alias("quality"))
-    index = index_vectors()
+    signs = index_signs()
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets, sums = Buckets(), np.zeros((BUCKETS, DIM), np.float32)
+        buckets, sums = Buckets(), np.zeros((BUCKETS, DIM), np.int64)
         for b in batches:
             for part in slices(b):
-                ids = [buckets.of(t) for t in part.column("text").to_pylist()]
-                if ids:
-                    contexts(np.concatenate(ids), index, sums)
+                contexts([buckets.of(t) for t in part.column("text").to_pylist()], signs, sums)
         yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
 
     few = rows.where(F.pmod(F.xxhash64(F.lit("vectors"), "doc_id"), F.lit(sample)) < vector_sample).select("text").repartition(4)
-    sums = sum((np.frombuffer(r["sums"], np.float32).reshape(BUCKETS, DIM) for r in few.mapInArrow(add_up, "sums binary").collect()), np.zeros((BUCKETS, DIM), np.float32))
-    vectors = unit(sums, index)
+    # 4 partitions, 4 MB each
+    sums = sum((np.frombuffer(r["sums"], np.int64).reshape(BUCKETS, DIM) for r in few.mapInArrow(add_up, "sums binary").collect()), np.zeros((BUCKETS, DIM), np.int64))
+    vectors = unit(sums, signs)
     got = features(rows, vectors, ["quality"]).toPandas().sort_values("doc_id")
     x = np.array(got["x"].tolist(), float).reshape(len(got), DIM + FIGURES)
     return train(x, got["quality"].to_numpy(float), vectors)
