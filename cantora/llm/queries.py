@@ -10,7 +10,7 @@ from cantora.llm.chunked_media import op8_chunked_media
 from cantora.llm.collision_search import op3_nearest
 from cantora.llm.fixity import OP7_SQL, op7_warc_fixity
 from cantora.llm.language_id import op2_language_id
-from cantora.llm.mixing import op10_mixing
+from cantora.llm.mixing import OP10_SQL, op10_mixing
 from cantora.llm.quality import op9_quality
 from cantora.llm.secret_scan import op1_secret_scan
 from cantora.llm.sentencepiece_codec import op6_sentencepiece
@@ -23,4 +23,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: The others depend on trained models, seeded hashes or byte formats; their tests compare with brute force.
-SQL: dict[str, str] = {"op7_warc_fixity": OP7_SQL}
+SQL: dict[str, str] = {"op7_warc_fixity": OP7_SQL, "op10_mixing": OP10_SQL}

@@ -566,6 +566,57 @@ def test_mixing(spark, docs, none):
     assert mixing.mix(docs).count() == len(ROWS) and mixing.mixed(docs).columns == docs.columns and mixing.mix(none).count() == 0
 
 
+def test_mix_is_a_pareto_sample(spark):
+    """The copies of one source, from its documents' ranks in plain Python; repeated rows, nulls and texts without words among them."""
+    from math import ceil, floor, sqrt
+
+    rng = random.Random(13)
+    rows = [(i, "w " * rng.choice([0, 1, 5, 30, 400]), rng.choice("ab")) for i in range(3000)] + [(7, "same words here", "a")] * 500 + [(None, None, "b"), (None, "x y", None), (9, "", None)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), ("doc_id", "text", "source")).collect()
+    copies = {}
+    for r in got:
+        assert copies.setdefault((r["doc_id"], r["text"], r["source"]), r["copies"]) == r["copies"]
+    for source in ("a", "b", None):
+        own = [(i, t) for i, t, s in rows if s == source]
+        sizes = {x: len((x[1] or "").split()) for x in own}
+        total, target = sum(sizes[x] for x in own), next(r["target"] for r in got if r["source"] == source)
+        whole = min(3, floor(target / total + 1e-9))
+        rest, spread = max(0.0, target - whole * total), sum(floor(sizes[x] * sqrt(sizes[x])) for x in own)
+
+        def place(x):
+            h = int(hashlib.md5(f"10:{'' if x[0] is None else x[0]}:{x[1] or ''}".encode()).hexdigest()[:13], 16)
+            u, p = (h + 0.5) / 2**52, min(1.0, rest * sqrt(sizes[x]) / spread)
+            return 1.0 if p <= 0 else 0.0 if p >= 1 else u * (1 - p) / (u * (1 - p) + (1 - u) * p)
+
+        cells, words = max(1, ceil(len(own) / mixing.INTERVAL)), {}
+        for x in own:
+            words[place(x), x] = words.get((place(x), x), 0) + sizes[x]
+        taken, held, left, order = set(), 0, [], sorted(words, key=lambda k: k[0])
+        for k in order:
+            held += words[k]
+            taken |= {k[1]} if held <= rest else set()
+            left += [k] if held > rest else []
+        gap = rest - sum(words[k] for k in order if k[1] in taken)
+        cell = lambda k: min(int(k[0] * cells), cells - 1)
+        near = [k for k in left if cell(k) == cell(left[0]) and abs(gap - words[k]) < gap] if left else []
+        if near:
+            taken.add(min(near, key=lambda k: (abs(gap - words[k]), k[0]))[1])
+        for x in own:
+            assert copies[(*x, source)] == whole + (x in taken and sizes[x] > 0 and rest > 0), x
+
+
+def test_mix_equals_sql(spark):
+    import duckdb
+
+    for sf in ("sf0.001", "sf0.01"):
+        c = duckdb.connect()
+        c.execute(f"CREATE VIEW documents AS SELECT * FROM '/root/testdata/{sf}/documents.parquet'")
+        rel = c.sql(mixing.OP10_SQL)
+        want = sorted(rel.fetchall(), key=str)
+        df = mixing.op10_mixing(spark, f"/root/testdata/{sf}")
+        assert df.columns == rel.columns and sorted(map(tuple, df.collect()), key=str) == want
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     import corpus_pipeline
 
