@@ -69,10 +69,22 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
                 out = f(part)
                 if out is not None:
                     yield out
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: Python workers go on to other tasks, and idle ones would keep it."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def slices(batch: pa.RecordBatch, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Split a batch by rows so that a piece holds about ``most_bytes`` (or a single row)."""
     n = batch.num_rows

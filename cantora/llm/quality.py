@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantora.llm.common import crc_mod, map_batches, slices, table
+from cantora.llm.common import crc_mod, give_back, map_batches, slices, table
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|_+|[^\w\s]+")
 BUCKETS, DIM, NONZERO, REACH = 1 << 14, 32, 4, 2
@@ -37,6 +37,8 @@ HIDDEN, EPOCHS, RATE, DECAY = 24, 400, 0.02, 1e-4
 #: Tokens whose buckets a Python worker remembers.
 CACHE = 200_000
 FIGURES = 5
+#: Pairs of neighbours whose signs are added up in one go.
+PAIRS = 1 << 15
 
 
 class Buckets:
@@ -75,11 +77,11 @@ def contexts(texts: list[np.ndarray], signs: np.ndarray, into: np.ndarray) -> No
         one, two = ids[:-k], ids[k:]
         inside = (one >= 0) & (two >= 0)
         one, two = one[inside], two[inside]
-        pairs, n = np.unique(np.concatenate([one * BUCKETS + two, two * BUCKETS + one]), return_counts=True)
-        if len(pairs):
-            word, near = np.divmod(pairs, BUCKETS)
+        every, times = np.unique(np.concatenate([one * BUCKETS + two, two * BUCKETS + one]), return_counts=True)
+        for at in range(0, len(every), PAIRS):
+            word, near = np.divmod(every[at : at + PAIRS], BUCKETS)
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            into[word[starts]] += np.add.reduceat(signs[near] * n[:, None], starts, 0)
+            into[word[starts]] += np.add.reduceat(signs[near] * times[at : at + PAIRS, None], starts, 0)
 
 
 def unit(sums: np.ndarray, signs: np.ndarray) -> np.ndarray:
@@ -169,8 +171,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vector_sampl
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, sums = Buckets(), np.zeros((BUCKETS, DIM), np.int64)
         for b in batches:
-            for part in slices(b):
+            for part in slices(b, 1 << 20):
                 contexts([buckets.of(t) for t in part.column("text").to_pylist()], signs, sums)
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
 
     few = rows.where(F.pmod(F.xxhash64(F.lit("vectors"), "doc_id"), F.lit(sample)) < vector_sample).select("text").repartition(4)
