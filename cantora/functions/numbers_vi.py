@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import re
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cantora.functions.text import FACTORY_REPAIRS, has_bad_attached_token, replace_all, squeeze, strip
+from cantora.functions.text import FACTORY_REPAIRS, LETTER, has_bad_attached_token, replace_all, squeeze, strip
 
 # The words.
 DIGITS = ("không", "một", "hai", "ba", "bốn", "năm", "sáu", "bảy", "tám", "chín")
 TEN, TENS, HUNDRED, THOUSAND, AND, MINUS = "mười", "mươi", "trăm", "nghìn", "lẻ", "âm"
+PHRASES = ((r"\b2\s+ca\b", "song ca"), (r"\b3\s+ca\b", "tam ca"), (r"\b120\b", " ".join(DIGITS[int(d)] for d in "120")))
+SYMBOLS = (("m²", " mét vuông "), ("㎡", " mét vuông "), ("%", " phần trăm "))
 #: Units that sound different after a multiple of ten.
 AFTER_TENS = {1: "mốt", 4: "tư", 5: "lăm"}
 
@@ -66,7 +71,7 @@ def _spell_match(raw: Column) -> Column:
 
 def spell_numbers(c: Column) -> Column:
     """Numbers in a text as words: fixed phrases first, then digits with their points and commas."""
-    for pattern, new in ((r"\b2\s+ca\b", "song ca"), (r"\b3\s+ca\b", "tam ca"), (r"\b120\b", " ".join(DIGITS[int(d)] for d in "120"))):
+    for pattern, new in PHRASES:
         c = F.regexp_replace(c, f"(?U){pattern}", new)
     number = r"(?U)\b\d[\d,.]*\b"
     between = F.split(c, number)
@@ -75,10 +80,50 @@ def spell_numbers(c: Column) -> Column:
 
 
 def name_symbols(c: Column) -> Column:
-    return replace_all(c, (("m²", " mét vuông "), ("㎡", " mét vuông "), ("%", " phần trăm ")))
+    return replace_all(c, SYMBOLS)
 
 
 def clean_text(c: Column) -> Column:
     """The factory's cleaning; empty for texts with a digit or sign glued to a letter."""
     text = strip(F.lower(F.coalesce(c, F.lit(""))))
     return F.when(has_bad_attached_token(text), "").otherwise(squeeze(spell_numbers(name_symbols(replace_all(text, FACTORY_REPAIRS)))))
+
+
+# The same for single texts in Python, for functions that clean ranges of words.
+_ATTACHED = re.compile(rf"[\d%²㎡][{LETTER}]|[{LETTER}][\d%²㎡]")
+_SPECIAL = re.compile("[0-9%²㎡]|\\d|" + "|".join(wrong for wrong, _ in FACTORY_REPAIRS))
+_NUMBER = re.compile(r"\b\d[\d,.]*\b")
+
+
+@cache
+def _tables() -> tuple[list[str], list[str]]:
+    return _under_hundred(), _under_thousand()
+
+
+def spell_of(number: str) -> str:
+    """``spell`` of a text of digits."""
+    low, mid = _tables()
+    digits = number.lstrip("0") or "0"
+    if len(digits) > 6:
+        return " ".join(DIGITS[int(d)] for d in digits)
+    thousands, rest = divmod(int(digits), 1000)
+    if not thousands:
+        return mid[rest]
+    tail = f" {DIGITS[0]} {HUNDRED} {low[rest]}" if 0 < rest < 100 else f" {mid[rest]}" if rest else ""
+    return f"{mid[thousands]} {THOUSAND}{tail}"
+
+
+def needs_cleaning(text: str) -> bool:
+    """Whether ``clean_text_of`` does more to a text, or to one it is part of, than lower its case."""
+    return _SPECIAL.search(text.lower()) is not None
+
+
+def clean_text_of(text: str) -> str:
+    text = text.lower().strip()
+    if _ATTACHED.search(text):
+        return ""
+    for wrong, right in (*FACTORY_REPAIRS, *SYMBOLS):
+        text = text.replace(wrong, right)
+    for pattern, new in PHRASES:
+        text = re.sub(pattern, new, text)
+    return " ".join(_NUMBER.sub(lambda m: spell_of(re.sub("[,.]", "", m[0])), text).split())

@@ -179,3 +179,35 @@ def part_index(path: Column) -> Column:
 
 def undated(name: Column) -> Column:
     return F.regexp_replace(name, r"^\d{2}_\d{2}__\d{2}_\d{2}__", "_")
+
+
+def round_half_even(c: Column, places: int) -> Column:
+    """Rounding of the exact binary value, halves to even: of a double, not of its shortest decimal form. The product with the power of ten is taken
+    as two doubles, so that nothing is lost. For results under 2^52 units of the last place."""
+    scale = float(10**places)
+    x = c.cast("double")
+    product = x * scale
+    halves = lambda v: (v * 134217729.0) - ((v * 134217729.0) - v)  # noqa: E731  the upper half of a double's digits
+    high, scale_high = halves(x), halves(F.lit(scale))
+    low, scale_low = x - high, F.lit(scale) - scale_high
+    error = ((high * scale_high - product) + high * scale_low + low * scale_high) + low * scale_low
+    base = F.floor(product).cast("double")
+    over = (product - base - 0.5) + error
+    up = F.when(over > 0, 1.0).when(over < 0, 0.0).otherwise(F.abs(base % 2))
+    return (base + up) / scale
+
+
+def expected_form(c: Column) -> Column:
+    """``normalize_spoken`` after the factory's cleaning: what a span of heard words is held against."""
+    from cantora.functions.numbers_vi import clean_text
+
+    return normalize_spoken(clean_text(c))
+
+
+def samples_of(ms: Column, rate: int) -> Column:
+    """Whole samples in so many milliseconds, cut towards zero."""
+    return (ms * F.lit(rate) / 1000).cast("long")
+
+
+def ms_of(samples: Column, rate: int) -> Column:
+    return samples * F.lit(1000.0) / rate

@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 
 def running_max(df: DataFrame, key: str, idx: str, value: str, out: str, chunk: int = 4096) -> DataFrame:
-    """Largest ``value`` up to each row in ``idx`` order within ``key``, in two levels: inside chunks of ``idx`` and over the chunks.
-    So a key with very many rows is no single task."""
-    df = df.withColumn("_chunk", F.floor(F.col(idx) / chunk))
+    """Largest ``value`` up to each row in ``idx`` order within ``key``, in two levels: inside chunks of about ``chunk`` rows and over the chunks. Chunks are ranges of ``idx`` between
+    its quantiles in the key, so that a key with very many rows is no single task, however far apart its indices are."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    large = counts.where(F.col("_n") > chunk)
+    if large.isEmpty():  # every key is one chunk
+        return df.withColumn(out, F.max(value).over(Window.partitionBy(key).orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)))
+    steps = [k / 256 for k in range(1, 256)]
+    marks = df.join(large.select(key), key, "left_semi").groupBy(key).agg(F.percentile_approx(idx, steps, 2000).alias("_marks"))
+    df = df.join(marks, key, "left").withColumn("_chunk", F.coalesce(F.size(F.filter("_marks", lambda m: m < F.col(idx))), F.lit(0))).drop("_marks")
     tops = df.groupBy(key, "_chunk").agg(F.max(value).alias("_top"))
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     tops = tops.select(key, "_chunk", F.max("_top").over(before).alias("_before"))
@@ -58,27 +64,32 @@ def overlap_first(spans: DataFrame, segments: DataFrame, key: str, bucket: float
 
 
 def greedy_overlap(spans: DataFrame, segments: DataFrame, key: str, least: float = 0.0) -> DataFrame:
-    """(key, span, seg): for each span in order the unused segment of largest overlap (the first of equals), if it is over ``least`` (or at
-    least that, when positive). Truly sequential, so one key is one group; keys are files of bounded length."""
+    """(key, span, seg): for each span in order the unused segment of largest overlap (the first of equals), if it is over nothing and at
+    least ``least``. Sequential only where spans compete: a key is cut wherever no interval reaches over, and a piece between two such cuts is one group."""
+    import numpy as np
     import pandas as pd
 
-    def run(k, v: pd.DataFrame, w: pd.DataFrame) -> pd.DataFrame:
-        used, out = set(), []
-        w = w.sort_values("seg")
-        rows = list(zip(w["seg"], w["s"], w["e"], strict=True))
-        for span, vs, ve in v.sort_values("span")[["span", "vs", "ve"]].itertuples(index=False):
-            best, best_seg = 0.0, None
-            for seg, s, e in rows:
-                o = max(0.0, min(ve, e) - max(vs, s))
-                if seg not in used and o > best:
-                    best, best_seg = o, seg
-            if best_seg is not None and best >= least:
-                used.add(best_seg)
-                out.append((k[0], span, best_seg))
+    both = spans.select(key, F.col("vs").alias("_s"), F.col("ve").alias("_e"), "span", F.lit(None).cast("long").alias("seg")).unionAll(
+        segments.select(key, F.col("s").alias("_s"), F.col("e").alias("_e"), F.lit(None).cast("long").alias("span"), "seg")
+    )
+    # intervals by start; where one starts at or after all ends before, a new piece begins
+    earlier = Window.partitionBy(key).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, -1)
+    cut = both.withColumn("_new", F.coalesce(F.col("_s") >= F.max("_e").over(earlier), F.lit(True)).cast("long"))
+    pieces = cut.withColumn("_piece", F.sum("_new").over(Window.partitionBy(key).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, 0)))
+
+    def run(k, group: pd.DataFrame) -> pd.DataFrame:
+        v = group[group["span"].notna()].sort_values("span")
+        w = group[group["span"].isna()].sort_values("seg")
+        s, e, free, out = w["_s"].to_numpy(), w["_e"].to_numpy(), np.ones(len(w), bool), []
+        for span, vs, ve in v[["span", "_s", "_e"]].itertuples(index=False):
+            shared = np.where(free, np.minimum(e, ve) - np.maximum(s, vs), 0.0)
+            if len(shared) and shared[best := int(shared.argmax())] > 0 and shared[best] >= least:
+                free[best] = False
+                out.append((k[0], int(span), int(w["seg"].iloc[best])))
         return pd.DataFrame(out, columns=[key, "span", "seg"])
 
     kind = segments.schema[key].dataType.simpleString()
-    return spans.groupBy(key).cogroup(segments.groupBy(key)).applyInPandas(run, f"{key} {kind}, span long, seg long")
+    return pieces.groupBy(key, "_piece").applyInPandas(run, f"{key} {kind}, span long, seg long")
 
 
 def lookup(rows: DataFrame, dimension: DataFrame, key: str, order: str) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cantora.functions.text import strip
+from cantora.functions.text import round_half_even, strip, word_count
 
 
 @dataclass(frozen=True)
@@ -150,3 +150,21 @@ def part_of(start: Column, length: float = PART_SECONDS) -> Column:
 
 def lookup_error(prefix: Column, start: Column) -> Column:
     return F.when(prefix.isNull(), "MISSING_WHISPER_PREFIX").when(start.isNull(), "MISSING_GLOBAL_START")
+
+
+def speech_length_ok(start: Column, end: Column, shortest: float = 1.0, longest: float = 20.0) -> Column:
+    """Speech intervals that are worth recognizing."""
+    return (end - start).between(shortest, longest)
+
+
+def enough_words(text: Column, least: int = 2) -> Column:
+    return word_count(text) >= least
+
+
+def default_audio(audio: Column, source_file: Column) -> Column:
+    """The audio path, else the source file, else nothing."""
+    return F.coalesce(audio, source_file, F.lit(""))
+
+
+def deltas(old_start: Column, old_end: Column, new_start: Column, new_end: Column) -> tuple[Column, Column]:
+    return round_half_even(new_start - old_start, 3), round_half_even(new_end - old_end, 3)

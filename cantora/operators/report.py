@@ -34,3 +34,28 @@ def char_histogram(df: DataFrame, text: str) -> DataFrame:
 def ordered_join(order: str, text: str, by: str = " ") -> Column:
     """An aggregate: texts joined in order."""
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), by)
+
+
+def global_stats(df: DataFrame, **values: Column) -> DataFrame:
+    """Least, largest and mean of each value; nulls don't count."""
+    return df.agg(*(f(c).alias(f"{name}_{word}") for name, c in values.items() for word, f in (("low", F.min), ("high", F.max), ("mean", F.avg))))
+
+
+def most_common(df: DataFrame, text: str, order: str, n: int | None = None) -> DataFrame:
+    """(ch, n) of ``char_histogram``, the most frequent first; of equals the one that comes first in ``order`` and in the text."""
+    at = df.select(order, F.posexplode(F.split(text, "")).alias("at", "ch")).where("ch <> ''")
+    counts = at.groupBy("ch").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order, "at")).alias("first")).orderBy(F.desc("n"), "first")
+    return (counts.limit(n) if n else counts).select("ch", "n")
+
+
+def counters(df: DataFrame, status: str) -> DataFrame:
+    return df.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
+
+
+def render(sections: dict[str, DataFrame], most: int = 50) -> str:
+    """A report as text: a heading for each section, and up to ``most`` rows of it."""
+    lines = []
+    for title, df in sections.items():
+        lines += [f"== {title} ==", " | ".join(df.columns)]
+        lines += [" | ".join("" if x is None else str(x) for x in r) for r in df.limit(most).collect()]
+    return "\n".join(lines) + "\n"

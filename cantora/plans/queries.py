@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cantora.functions import fuzzy, numbers_vi, text
-from cantora.operators import joins, match, order, quality, report
+from cantora.operators import joins, match, order, quality, report, span
 from cantora.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -284,10 +284,10 @@ def delta_columns(spark, sf):
     return read(spark, sf, "orders").join(read(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.round(F.col("o_totalprice") - F.col("c_acctbal"), 3).alias("delta"))
 
 
-@query("SELECT turn AS source_index, conv_id, concat(conv_id, '.wav') AS audio_path, 1200.015 * (turn::DOUBLE) + length(text) AS global_start FROM conversations".replace("1200.015 *", "1200.015::DOUBLE *"))
+@query("SELECT turn AS source_index, conv_id, concat(conv_id, '.wav') AS audio_path, length(text)::DOUBLE + 1200.015::DOUBLE * (turn::DOUBLE + 1 - 1) AS global_start FROM conversations")
 def global_time_columns(spark, sf):
     """Constant path per file, and local times made global."""
-    return read(spark, sf, "conversations").select(F.col("turn").alias("source_index"), "conv_id", F.concat("conv_id", F.lit(".wav")).alias("audio_path"), (quality.PART_SECONDS * F.col("turn").cast("double") + F.length("text")).alias("global_start"))
+    return read(spark, sf, "conversations").select(F.col("turn").alias("source_index"), "conv_id", F.concat("conv_id", F.lit(".wav")).alias("audio_path"), quality.global_time(F.length("text").cast("double"), F.col("turn").cast("double") + 1).alias("global_start"))
 
 
 @query("SELECT conv_id, count(*) AS n, round(avg(length(text)), 4) AS avg_duration, round(avg(coalesce(nullif(turn, 0), 0)), 4) AS avg_score, round(avg(length(role)), 4) AS avg_pace FROM conversations GROUP BY conv_id")
@@ -400,7 +400,8 @@ def strip_duration_prefix(spark, sf):
     i = F.col("event_id")
     spoken = F.when(i % 5 == 0, "1 minute, 3 seconds").when(i % 5 == 1, "44 giây").when(i % 5 == 2, "2 GIỜ, 1 phút").when(i % 5 == 3, "3 hours").otherwise("")
     line = F.concat((i % 9).cast("string"), F.lit(":"), F.lpad((i % 60).cast("string"), 2, "0"), spoken, F.lit(" "), F.col("event_type"))
-    parsed = read(spark, sf, "events").select("event_id", text.parse_caption(line).alias("c")).where("c is not null")
+    # exploded, so that the parsed line is one column and isn't computed for each use
+    parsed = read(spark, sf, "events").select("event_id", F.explode(F.array(text.parse_caption(line))).alias("c")).where("c is not null")
     return parsed.select("event_id", "c.time", F.col("c.text").alias("txt"))
 
 
@@ -422,10 +423,27 @@ def bad_attached_token(spark, sf):
     return read(spark, sf, "documents").select("doc_id", text.has_bad_attached_token(F.lower("text")).alias("bad"))
 
 
-@query()
+_REPAIRED = "t"
+for _wrong, _right in text.FACTORY_REPAIRS + numbers_vi.SYMBOLS:
+    _REPAIRED = f"replace({_REPAIRED}, '{_wrong}', '{_right}')"
+for _wrong, _right in numbers_vi.PHRASES:
+    _REPAIRED = f"regexp_replace({_REPAIRED}, '{_wrong}', '{_right}', 'g')"
+_SPELL = f"""CASE WHEN length(d) > 6 THEN array_to_string([{_DIGITS}[x::INT + 1] for x in string_split(d, '')], ' ') WHEN d::INT < 1000 THEN three[d::INT + 1]
+WHEN d::INT % 1000 = 0 THEN three[d::INT // 1000 + 1] || ' nghìn' WHEN d::INT % 1000 < 100 THEN three[d::INT // 1000 + 1] || ' nghìn không trăm ' || three[d::INT % 1000 + 1] ELSE three[d::INT // 1000 + 1] || ' nghìn ' || three[d::INT % 1000 + 1] END"""
+
+
+@query(rf"""WITH w AS (SELECT list(w ORDER BY n) AS three FROM (SELECT n, {_THREE} AS w FROM (SELECT unnest(range(0, 1000)) AS n))),
+low AS (SELECT doc_id, regexp_replace(lower(text), '^\s+|\s+$', '', 'g') AS t FROM documents),
+fixed AS (SELECT doc_id, CASE WHEN regexp_matches(t, '[\p{{Nd}}%²㎡][{text.LETTER}]|[{text.LETTER}][\p{{Nd}}%²㎡]') THEN '' ELSE {_REPAIRED} END AS t FROM low),
+cut AS (SELECT doc_id, regexp_split_to_array(t, '\b\d[\d,.]*\b') AS around, [regexp_replace(regexp_replace(x, '[,.]', '', 'g'), '^0+(.)', '\1') for x in regexp_extract_all(t, '\b\d[\d,.]*\b')] AS nums FROM fixed),
+said AS (SELECT doc_id, around, list_append([{_SPELL} for d in nums], '') AS words FROM cut, w),
+done AS (SELECT doc_id, trim(regexp_replace(array_to_string([a.x || a.y for a in [{{'x': around[i], 'y': words[i]}} for i in range(1, len(around) + 1)]], ''), '\s+', ' ', 'g')) AS txt FROM said)
+SELECT doc_id, txt, CASE WHEN txt = '' THEN 'CLEAN_TEXT_EMPTY' END AS reject_reason FROM done""")
 def clean_text_factory(spark, sf):
     """The factory's cleaning of whole texts; what comes out empty is rejected."""
-    out = read(spark, sf, "documents").select("doc_id", numbers_vi.clean_text(F.col("text")).alias("txt"))
+    # one row group is one task; the cleaning is worth more
+    rows = read(spark, sf, "documents").select("doc_id", "text").repartition(spark.sparkContext.defaultParallelism * 2, "doc_id")
+    out = rows.select("doc_id", numbers_vi.clean_text(F.col("text")).alias("txt"))
     return out.withColumn("reject_reason", F.when(F.col("txt") == "", "CLEAN_TEXT_EMPTY"))
 
 
@@ -468,7 +486,17 @@ def indel_ratio(spark, sf):
     return pairs.withColumn("ratio", F.round(fuzzy.ratio(F.lower("p_name"), F.lower("p_type")), 4))
 
 
-@query()
+def _sql_ratio(a: str, b: str) -> str:
+    return f"(200.0 * ({_sql_lcs(a, b)}) / greatest(length({a}) + length({b}), 1))"
+
+
+@query(f"""WITH n AS (SELECT DISTINCT p_name, p_type, p_brand FROM part), p AS (SELECT DISTINCT a.p_name, b.p_name AS other FROM n a JOIN n b USING (p_type, p_brand)),
+t AS (SELECT *, list_distinct([w for w in string_split(p_name, ' ') if w <> '']) AS x, list_distinct([w for w in string_split(other, ' ') if w <> '']) AS y FROM p),
+s AS (SELECT *, list_sort([w for w in x if list_contains(y, w)]) AS both_, list_sort([w for w in x if NOT list_contains(y, w)]) AS l, list_sort([w for w in y if NOT list_contains(x, w)]) AS r FROM t),
+j AS (SELECT *, array_to_string(both_, ' ') AS c, array_to_string(list_concat(both_, l), ' ') AS lt, array_to_string(list_concat(both_, r), ' ') AS rt FROM s),
+k AS (SELECT p_name, other, CASE WHEN p_name = '' OR other = '' THEN 0.0 WHEN len(both_) > 0 AND (len(l) = 0 OR len(r) = 0) THEN 100.0 WHEN len(both_) = 0 THEN {_sql_ratio('lt', 'rt')}
+ELSE greatest({_sql_ratio('lt', 'rt')}, 200.0 * length(c) / (length(c) + length(lt)), 200.0 * length(c) / (length(c) + length(rt))) END AS v FROM j)
+SELECT p_name, other, round(v::DOUBLE, 4) AS as_expression, round(v::DOUBLE, 4) AS as_function FROM k""")
 def token_set_ratio(spark, sf):
     """Names of parts of one brand and type against each other, both ways of computing."""
     names = read(spark, sf, "part").select("p_name", "p_type", "p_brand").distinct()
@@ -492,14 +520,31 @@ def timed_words(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("conv_id", "turn", F.transform("w", word).alias("words"))
 
 
-@query()
-def best_word_span(spark, sf):
+def spans_of(spark: SparkSession, sf: str, how: span.SpanSearch) -> DataFrame:
     """Words of each turn, timed evenly, searched for the turn's own text between its second and last but one word."""
     rows = timed_words(spark, sf).where(F.size("words") > 3)
-    n = F.size("words")
-    inner = F.slice("words", 2, n - 2)
-    spans = rows.select("conv_id", "turn", match.best_word_span(F.array_join(inner["word"], " "), F.col("words.word"), F.col("words.start"), F.col("words.end"), inner[0]["start"], F.element_at(inner, -1)["end"]).alias("m"))
-    return spans.select("conv_id", "turn", "m.*")
+    inner = F.slice("words", 2, F.size("words") - 2)
+    w = F.col("words")
+    found = span.span_udf(how)(F.array_join(inner["word"], " "), w["word"], w["start"], w["end"], w["probability"], inner[0]["start"], F.element_at(inner, -1)["end"])
+    # turns of very different lengths, from one small file
+    return rows.repartition(32, "conv_id", "turn").select("conv_id", "turn", found.alias("m")).select("conv_id", "turn", "m.*")
+
+
+@query()
+def best_word_span(spark, sf):
+    return spans_of(spark, sf, span.CURRENT)
+
+
+@query()
+def best_word_span_older(spark, sf):
+    return spans_of(spark, sf, span.OLDER)
+
+
+@query()
+def best_aligned_span(spark, sf):
+    from cantora.plans import jobs
+
+    return spans_of(spark, sf, span.ALIGNED).withColumn("status", jobs.aligned_status(F.col("score"), F.col("reason")))
 
 
 _WORDS = r"unnest([w for w in regexp_split_to_array(text, '\s+') if w <> '']) AS word, generate_subscripts([w for w in regexp_split_to_array(text, '\s+') if w <> ''], 1) - 1 AS i"
@@ -550,3 +595,143 @@ def incremental_counts(spark, sf):
     """All event files through the resumable stream, and their counts."""
     done = incremental.load_available(spark, f"{sf}/events.parquet", read(spark, sf, "events").schema)
     return done.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+def _sql_even(x: str, places: int) -> str:
+    """Rounding of the exact binary value, halves to even, with the product as two doubles."""
+    scale = f"{10**places}.0::DOUBLE"
+    half = lambda v: f"(({v}) * 134217729.0::DOUBLE - (({v}) * 134217729.0::DOUBLE - ({v})))"
+    return f"(SELECT (floor(p) + CASE WHEN o > 0 THEN 1 WHEN o < 0 THEN 0 ELSE abs(floor(p) % 2) END) / {scale} FROM (SELECT p, (p - floor(p) - 0.5::DOUBLE) + (((h * sh - p) + h * sl + l * sh) + l * sl) AS o FROM (SELECT {x} * {scale} AS p, {half(x)} AS h, {x} - {half(x)} AS l, {half(scale)} AS sh, {scale} - {half(scale)} AS sl)))"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, {_sql_even('(l_extendedprice / 8)', 2)} AS two, {_sql_even('(l_extendedprice * l_discount)', 1)} AS one FROM lineitem")
+def half_even_rounding(spark, sf):
+    price = F.col("l_extendedprice")
+    return read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.round_half_even(price / 8, 2).alias("two"), text.round_half_even(price * F.col("l_discount"), 1).alias("one"))
+
+
+@query("SELECT ch, n FROM (SELECT ch, count(*) AS n, min(doc_id * 1000000 + place) AS f FROM (SELECT doc_id, unnest(string_split(text, '')) AS ch, unnest(range(0, len(string_split(text, '')))) AS place FROM documents) WHERE ch <> '' GROUP BY ch) ORDER BY n DESC, f LIMIT 20")
+def most_common_characters(spark, sf):
+    return report.most_common(read(spark, sf, "documents"), "text", "doc_id", 20)
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}_\sÀ-ỹ]', ' ', 'g'), '\s+', ' ', 'g')) AS txt FROM documents")
+def normalize_spoken(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", text.normalize_spoken(F.col("text")).alias("txt"))
+
+
+@query(SQL["clean_text_factory"].replace("SELECT doc_id, txt, CASE WHEN txt = '' THEN 'CLEAN_TEXT_EMPTY' END AS reject_reason FROM done", r"SELECT doc_id, trim(regexp_replace(regexp_replace(txt, '[^\p{L}\p{N}_\sÀ-ỹ]', ' ', 'g'), '\s+', ' ', 'g')) AS txt FROM done"))
+def expected_form(spark, sf):
+    """Cleaned and normalized, as texts are before they are held against heard words."""
+    rows = read(spark, sf, "documents").select("doc_id", "text").repartition(spark.sparkContext.defaultParallelism * 2, "doc_id")
+    return rows.select("doc_id", text.expected_form(F.col("text")).alias("txt"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS txt FROM documents")
+def squeeze_text(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", text.squeeze(F.col("text")).alias("txt"))
+
+
+def _sql_spaced(c: str) -> str:
+    return rf"trim(regexp_replace(regexp_replace({c}, '\s+', ' ', 'g'), '\s+([,.!?;:])', '\1', 'g'))"
+
+
+def _sql_capitals(c: str) -> str:
+    return rf"""array_to_string([upper(x.t[1]) || x.t[2:] || x.e for x in [{{'t': regexp_replace(regexp_replace(p, '[.!?]$', ''), '^\s+|\s+$', '', 'g'), 'e': regexp_extract(p, '[.!?]$')}} for p in regexp_extract_all({c}, '[^.!?]*[.!?]|[^.!?]+')] if x.t <> ''], '')"""
+
+
+@query(f"WITH a AS (SELECT doc_id, {_sql_spaced(_FIXED.replace('lower(text)', 'lower(nfc_normalize(text))'))} AS t FROM documents) SELECT doc_id, {_sql_capitals('t')} AS txt FROM a")
+def clean_spoken(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", text.clean_spoken(F.col("text")).alias("txt"))
+
+
+@query(r"""SELECT event_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(raw, '^\d+\s*giây', '', 'i'), '^\d+\s*phút\s*,?\s*\d*\s*giây?', '', 'i'), '^\d+\s*phút', '', 'i'), '\s+', ' ', 'g')) AS txt
+FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN '44 giây' WHEN 1 THEN '3 phút, 5 giâ' WHEN 2 THEN '2 PHÚT' ELSE '' END || ' ' || event_type AS raw FROM events)""")
+def strip_durations_single(spark, sf):
+    i = F.col("event_id") % 4
+    raw = F.concat(F.when(i == 0, "44 giây").when(i == 1, "3 phút, 5 giâ").when(i == 2, "2 PHÚT").otherwise(""), F.lit(" "), F.col("event_type"))
+    return read(spark, sf, "events").select("event_id", text.strip_durations_single(raw).alias("txt"))
+
+
+@query("SELECT count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS invalid FROM (SELECT regexp_matches(coalesce(text, ''), '\\S') AND nullif(n_chars % 7, 0) IS NOT NULL AS ok FROM documents)")
+def valid_segments(spark, sf):
+    ok = quality.valid_segment(F.col("text"), F.lit(0.0), F.nullif(F.col("n_chars") % 7, F.lit(0)))
+    return read(spark, sf, "documents").agg(F.count_if(ok).alias("valid"), F.count_if(~ok).alias("invalid"))
+
+
+@query("SELECT event_id, greatest(0, least(value + 5, 40 + event_id % 9) - greatest(value, 20))::DOUBLE AS seconds FROM events")
+def overlap_seconds(spark, sf):
+    return read(spark, sf, "events").select("event_id", joins.overlap_seconds(F.col("value"), F.col("value") + 5, F.lit(20.0), 40.0 + F.col("event_id") % 9).alias("seconds"))
+
+
+@query("SELECT event_id, trunc(event_id * 37 % 5000 * 16000 / 1000)::BIGINT AS samples, event_id % 777 * 1000.0::DOUBLE / 16000 AS ms FROM events")
+def samples_and_ms(spark, sf):
+    i = F.col("event_id")
+    return read(spark, sf, "events").select("event_id", text.samples_of(i * 37 % 5000, 16000).alias("samples"), text.ms_of(i % 777, 16000).alias("ms"))
+
+
+@query(f"WITH {GATE} SELECT event_id FROM g WHERE score >= 75 AND dur BETWEEN 1 AND 20 AND {PACE} BETWEEN 3 AND 35")
+def first_version_filter(spark, sf):
+    return gate(spark, sf).where(quality.accepted(F.col("score"), F.col("dur"), F.col("pace"), quality.FIRST_VERSION)).select("event_id")
+
+
+@query("""SELECT event_id, coalesce(nullif(concat_ws('|', CASE WHEN value < 70 THEN 'LOW_MATCH_SCORE' END, CASE WHEN value < 75 THEN 'LOW_TEXT_SCORE' END, CASE WHEN (event_id % 10) / 10 < 0.55 THEN 'LOW_WORD_PROBABILITY' END,
+CASE WHEN (event_id % 13) / 10 > 0.8 THEN 'LARGE_WORD_GAP' END, CASE WHEN (event_id % 19) / 10 > 1.2 THEN 'DELTA_START_TOO_LARGE' END), ''), 'OK') AS reasons FROM events""")
+def older_judge(spark, sf):
+    i, v = F.col("event_id"), F.col("value")
+    return read(spark, sf, "events").select("event_id", quality.span_reasons(v, v, i % 10 / 10, i % 13 / 10, i % 4, i % 19 / 10, F.lit(0.0), quality.OLD_SPANS).alias("reasons"))
+
+
+@query("SELECT event_id FROM events WHERE event_id % 31 - event_id % 7 BETWEEN 1 AND 20")
+def speech_length_filter(spark, sf):
+    i = F.col("event_id")
+    return read(spark, sf, "events").where(quality.speech_length_ok(i % 7, i % 31)).select("event_id")
+
+
+@query("SELECT doc_id, coalesce(CASE WHEN doc_id % 3 = 0 THEN source END, CASE WHEN doc_id % 2 = 0 THEN lang END, '') AS audio_path FROM documents")
+def default_audio_path(spark, sf):
+    i = F.col("doc_id")
+    return read(spark, sf, "documents").select("doc_id", quality.default_audio(F.when(i % 3 == 0, F.col("source")), F.when(i % 2 == 0, F.col("lang"))).alias("audio_path"))
+
+
+@query("SELECT DISTINCT p_name, p_type, round(200.0 * fl / (length(a) + length(b)), 4) AS first, round(200.0 * ll / (length(c) + length(d)), 4) AS last FROM (SELECT *, {} AS fl, {} AS ll FROM (SELECT p_name, p_type, lower(string_split(p_name, ' ')[1]) AS a, lower(string_split(p_type, ' ')[1]) AS b, lower(string_split(p_name, ' ')[-1]) AS c, lower(string_split(p_type, ' ')[-1]) AS d FROM (SELECT DISTINCT p_name, p_type FROM part)))".format(_sql_lcs("a", "b"), _sql_lcs("c", "d")))
+def edge_word_scores(spark, sf):
+    pairs = read(spark, sf, "part").select("p_name", "p_type").distinct()
+    first, last = match.edge_word_scores(F.split(F.lower("p_name"), " "), F.split(F.lower("p_type"), " "))
+    return pairs.select("p_name", "p_type", F.round(first, 4).alias("first"), F.round(last, 4).alias("last"))
+
+
+@query("SELECT doc_id, quality, CASE WHEN quality IS NULL THEN 'NO_ALIGNMENT' END AS reject_reason FROM documents LEFT JOIN labels USING (doc_id)")
+def audio_with_alignment(spark, sf):
+    from cantora.plans import jobs
+
+    return jobs.with_alignment(read(spark, sf, "documents").select("doc_id"), read(spark, sf, "labels").select("doc_id", "quality"), "doc_id").select("doc_id", "quality", "reject_reason")
+
+
+@query("SELECT page_id, row_number() OVER (ORDER BY coalesce(nullif(regexp_extract(f, '_(\\d+)\\.json$', 1), '')::INT, 1), f) - 1 AS position FROM (SELECT page_id, 'p_' || (page_id * 7919 % 1000) || CASE WHEN page_id % 5 = 0 THEN '.txt' ELSE '.json' END || CASE WHEN page_id % 5 = 0 THEN page_id::VARCHAR ELSE '' END AS f FROM pages WHERE page_id * 7919 % 1000 >= 0) QUALIFY count(*) OVER (PARTITION BY f) = 1")
+def part_order(spark, sf):
+    """Files in the order of their parts."""
+    i = F.col("page_id")
+    name = F.concat(F.lit("p_"), i * 7919 % 1000, F.when(i % 5 == 0, ".txt").otherwise(".json"), F.when(i % 5 == 0, i.cast("string")).otherwise(""))
+    files = read(spark, sf, "pages").select("page_id", name.alias("f"))
+    once = files.join(files.groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n = 1"), "f")
+    sort_key = F.struct(text.part_index(F.col("f")).alias("part"), "f")
+    return once.select("page_id", (F.row_number().over(Window.orderBy(sort_key)) - 1).alias("position"))
+
+
+@query("SELECT lang, count(*) AS n, count(source) AS with_source FROM (SELECT lang, source FROM documents UNION ALL SELECT role, NULL FROM conversations) GROUP BY lang")
+def union_of_parts(spark, sf):
+    parts = [read(spark, sf, "documents").select("lang", "source"), read(spark, sf, "conversations").select(F.col("role").alias("lang"))]
+    return order.union_parts(parts).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count("source").alias("with_source"))
+
+
+@query("SELECT min(value) AS score_low, max(value) AS score_high, round(avg(value), 4) AS score_mean, min(event_id % 23)::DOUBLE AS duration_low, max(event_id % 23)::DOUBLE AS duration_high, round(avg(event_id % 23), 4) AS duration_mean FROM events")
+def score_and_duration_stats(spark, sf):
+    out = report.global_stats(read(spark, sf, "events"), score=F.col("value"), duration=(F.col("event_id") % 23).cast("double"))
+    return out.withColumns({c: F.round(c, 4) for c in ("score_mean", "duration_mean")})
+
+
+@query("WITH s AS (SELECT event_id, floor(value) AS a, floor(value) + 1 + event_id % 25 AS b FROM events) SELECT count(*) AS n, round(sum(b - a), 2) AS seconds FROM s WHERE b - a BETWEEN 1 AND 20")
+def speech_totals(spark, sf):
+    rows = read(spark, sf, "events").select(F.floor("value").alias("a"), (F.floor("value") + 1 + F.col("event_id") % 25).alias("b"))
+    return rows.where(quality.speech_length_ok(F.col("a"), F.col("b"))).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum((F.col("b") - F.col("a")).cast("double")), 2).alias("seconds"))

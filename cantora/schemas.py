@@ -2,19 +2,7 @@
 
 from __future__ import annotations
 
-SEGMENT = "start double, end double, text string, audio_path string"
-GLOBAL_SEGMENT = f"{SEGMENT}, global_start double, global_end double, source_file string, part_index int, time_offset double"
-CAPTION = "job string, idx long, start int, text string"
-INTERVAL = "start double, end double"
-ALIGN_MAP = "version int, items array<struct<source_youtube_path:string,whisper_prefix:string,whisper_folder_path:string>>"
 ALIGNED = "start double, end double, global_start double, global_end double, score double, chars_per_sec double, whisper_text string, matched_text string"
-REJECTED = f"reason string, {ALIGNED}"
-FACTORY = f"{ALIGNED}, source_json string, source_index int, audio_path string"
-METADATA = "audio_path string, text string, start double, end double, score double, chars_per_sec double, source_json string"
-CLIP = (
-    "audio string, text string, duration double, original_start double, original_end double, cut_start double, cut_end double, padding_seconds double, "
-    "score double, chars_per_sec double, source_audio string, source_audio_path string, source_index int"
-)
 WORD = "struct<word:string,start:double,end:double,probability:double,score:double>"
 WORD_ROW = f"index int, audio string, text_expected string, original_start double, original_end double, cut_start double, cut_end double, segments array<struct<start:double,end:double,text:string,words:array<{WORD}>>>, words array<{WORD}>"
 DONE_LOG = "input string, output string, done_at string"

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cantora.functions import fuzzy, numbers_vi, text
-from cantora.operators import joins, match, order, quality
+from cantora.operators import joins, match, order, quality, span
 from cantora.plans import queries
 
 DATA = "/root/testdata/sf0.001"
@@ -109,15 +109,131 @@ def test_best_substring_forms_agree(spark):
         assert r["m"]["matched_text"] == t and r["m"]["score"] == pytest.approx(s)
 
 
+NAMES = [n for n, _ in span.FIELDS]
+
+
 def test_best_span():
     w = ["à", "một", "hai", "ba", "bốn", "x"]
-    starts, ends = [0.4 * i for i in range(6)], [0.4 * i + 0.3 for i in range(6)]
-    got = match.search_span("một hai ba bốn", w, starts, ends, 0.4, 1.9)
-    assert got[0] == "một hai ba bốn" and got[1] == 100.0 and got[4:6] == (1, 4)
-    assert match.search_span("", w, starts, ends, 0, 1)[-1] == "EMPTY_EXPECTED_TEXT"
-    assert match.search_span("a", [], [], [], 0, 1)[-1] == "NO_WORDS"
-    assert match.search_span("a", w, starts, ends, None, 1)[-1] == "BAD_EXPECTED_TIME"
-    assert match.search_span("zzz", w, starts, ends, 0.0, 0.4)[-1].startswith("NO_GOOD_SPAN|FIRST_WORD_REJECT=")
+    starts, ends, odds = [0.4 * i for i in range(6)], [0.4 * i + 0.3 for i in range(6)], [0.5, None, 1.0, 0.5, 0.5, None]
+    got = dict(zip(NAMES, span.search("một hai ba bốn", w, starts, ends, odds, 0.4, 1.9)))
+    assert got["matched_text"] == "một hai ba bốn" and got["score"] == 100.0 and (got["word_start_index"], got["word_end_index"]) == (1, 4)
+    assert got["avg_word_probability"] == 0.6667 and got["max_word_gap"] == 0.1 and got["reason"] is None
+    why = lambda *a: span.search(*a)[-1]
+    assert why("", w, starts, ends, odds, 0, 1) == "EMPTY_EXPECTED_TEXT" and why("17ảy", w, starts, ends, odds, 0, 1) == "EMPTY_EXPECTED_TEXT"
+    assert why("a", [], [], [], [], 0, 1) == "NO_WORDS" and why("a", w, starts, ends, odds, None, 1) == "BAD_EXPECTED_TIME" and why("a", w, starts, ends, odds, 1, 1) == "BAD_EXPECTED_DURATION"
+    assert why("zzz", w, starts, ends, odds, 0.0, 0.4).startswith("NO_GOOD_SPAN|FIRST_WORD_REJECT=")
+    assert span.search("ba", ["3"], [0.0], [0.4], [None], 0.0, 0.4)[1] == 100.0
+    assert span.search("song ca", ["2", "ca"], [0.0, 0.5], [0.4, 0.9], [], 0.0, 0.9)[1] == 100.0
+
+
+def plain_span(text, found, s, e, start, end, how):
+    """The search as nested loops over joined texts."""
+    normal = span.expected_words if how.cleaned else span.spoken
+    target, best, refused = normal(text), None, dict.fromkeys(("FIRST_WORD", "LAST_WORD", "TIME", "DURATION"), 0)
+    for skip in range(min(how.skips, len(target) - 1) + 1):
+        core = target[skip:]
+        for i in range(len(found)):
+            for j in range(i + max(1, int(len(core) * 0.75)), min(len(found), i + max(1, int(len(core) * 1.25))) + 1):
+                at = i - skip
+                if at < 0:
+                    continue
+                length = e[j - 1] - s[at]
+                words = normal(" ".join(found[i:j]))
+                first, last = (fuzzy.ratio_of(core[0], words[0]), fuzzy.ratio_of(core[-1], words[-1])) if words else (0, 0)
+                if s[at] < max(0.0, start - 1.0) or e[j - 1] > end + 1.0:
+                    refused["TIME"] += 1
+                elif length < (end - start) * 0.70 or length > (end - start) * 1.30:
+                    refused["DURATION"] += 1
+                elif how.first is not None and first < how.first:
+                    refused["FIRST_WORD"] += 1
+                elif how.last is not None and last < how.last:
+                    refused["LAST_WORD"] += 1
+                else:
+                    score = fuzzy.ratio_of(" ".join(target), " ".join(normal(" ".join(found[at:j]))))
+                    score -= abs(s[at] - start) * 10 + abs(e[j - 1] - end) * 10 + abs(length - (end - start)) * 8 + skip * 3 + how.penalty * ((first < how.dear) + (last < how.dear))
+                    if best is None or score > best[0]:
+                        best = (round(score, 2), skip, at, i, j - 1)
+    return best, "NO_GOOD_SPAN" + "".join(f"|{k}_REJECT={v}" for k, v in refused.items()) * how.counted
+
+
+@pytest.mark.parametrize("how", [span.CURRENT, span.OLDER, span.ALIGNED])
+def test_span_search_equals_nested_loops(how):
+    rng, hits = random.Random(21), 0
+    for _ in range(250):
+        words = [rng.choice(["một", "hai", "ba", "ba.", "—", "bốn", "3", "1.120", "2", "ca", "tôn", "hùng", "99%", "a-b", "17ảy" if rng.random() < 0.1 else "x"]) for _ in range(rng.randint(1, 9))]
+        s = [0.4 * i + rng.choice([0, 0.05]) for i in range(len(words))]
+        e = [x + rng.choice([0.2, 0.3]) for x in s]
+        a = rng.randrange(len(words))
+        b = rng.randint(a + 1, len(words))
+        text = " ".join(rng.choice(words) if rng.random() < 0.2 else w for w in words[a:b])
+        start, end = s[a] + rng.choice([0, 0.1]), e[b - 1]
+        if end <= start or not (span.expected_words if how.cleaned else span.spoken)(text):
+            continue
+        got = dict(zip(NAMES, span.search(text, words, s, e, [], start, end, how)))
+        best, why = plain_span(text, words, s, e, start, end, how)
+        if best is None:
+            assert got["reason"] == why, (text, words)
+        else:
+            hits += 1
+            assert (got["score"], got["prefix_skip"], got["word_start_index"], got["word_core_start_index"], got["word_end_index"]) == pytest.approx(best), (text, words)
+    assert hits > 60
+
+
+def test_cleaning_forms_agree(spark):
+    rng = random.Random(22)
+    texts = [" ".join(rng.choice(["2", "ca", "3", "120", "1.120", "007", "1000000", "5,b", "20㎡", "m²", "99%", "tôn", "hùng", "Ba", "x-1", "0", "12,", "21", "1005"]) for _ in range(rng.randint(0, 6))) for _ in range(200)]
+    assert values(spark, numbers_vi.clean_text, texts) == [numbers_vi.clean_text_of(t) for t in texts]
+    assert values(spark, text.expected_form, texts) == [" ".join(span.expected_words(t)) for t in texts]
+
+
+def test_half_even(spark):
+    rng = random.Random(23)
+    numbers = [2.675, 1.005, 0.125, 0.375, 2.5, -2.5, -0.125, -2.675, 0.0, 1e6 + 0.5, 85.85, 104.0] + [rng.uniform(-1000, 1000) for _ in range(500)] + [k / 8 for k in range(-50, 50)] + [k / 1000 for k in range(5, 4000, 10)]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    for places in (0, 1, 2, 3, 4):
+        assert [r["y"] for r in df.select(text.round_half_even(F.col("x"), places).alias("y")).collect()] == [float(round(x, places)) for x in numbers]
+
+
+def test_substring_versions():
+    assert match.search_substring("xin chào các bạn", "xin chào các bạn. hôm nay", how=match.SECOND) == ("xin chào các bạn.", 105.0)
+    assert match.search_substring("một", "hai ba", how=match.FIRST) == ("hai ba", 0.0) and match.search_substring("một", "hai ba", how=match.SECOND) == ("", match.NO_MATCH)
+
+
+def test_greedy_overlap_takes_the_best_unused(spark):
+    rng = random.Random(24)
+    for least in (0.0, 0.3):
+        spans = [(k, i, s, s + rng.choice([0.0, 1.0, 3.0])) for k in (1, 2) for i, s in enumerate(sorted(rng.uniform(0, 40) for _ in range(15)))]
+        segs = [(k, i, s, s + rng.choice([0.0, 0.2, 2.0, 6.0])) for k in (1, 2, 3) for i, s in enumerate(rng.uniform(0, 40) for _ in range(25))]
+        want, used = set(), set()
+        for k, v, vs, ve in spans:
+            best, best_seg = 0.0, None
+            for k2, i, s, e in segs:
+                o = max(0.0, min(ve, e) - max(vs, s))
+                if k2 == k and (k, i) not in used and o > best:
+                    best, best_seg = o, i
+            if best_seg is not None and best >= least:
+                used.add((k, best_seg))
+                want.add((k, v, best_seg))
+        got = joins.greedy_overlap(spark.createDataFrame(spans, "k int, span long, vs double, ve double"), spark.createDataFrame(segs, "k int, seg long, s double, e double"), "k", least)
+        assert {tuple(r) for r in got.collect()} == want
+
+
+def test_sparse_positions(spark):
+    rng = random.Random(25)
+    ids = [*{rng.randrange(-(1 << 62), 1 << 62) for _ in range(3000)}]
+    df = spark.createDataFrame([(i, i % 2) for i in ids], "i long, k long")
+    assert {r["i"]: r["n"] for r in order.number_rows(df, "i", "n", chunk=100).collect()} == {i: n for n, i in enumerate(sorted(ids))}
+    parts = order.chunked(df, "i", "c", chunk=100).groupBy("c").count().collect()
+    assert len(parts) >= 25 and max(r["count"] for r in parts) < 400
+    rows = [(k, i, rng.random()) for k in (0, 1) for i in sorted(x for x in ids if x % 2 == k)]
+    got = {r["i"]: r["m"] for r in joins.running_max(spark.createDataFrame(rows, "k long, i long, v double"), "k", "i", "v", "m", chunk=50).collect()}
+    for k in (0, 1):
+        top = -1.0
+        for _, i, v in (r for r in rows if r[0] == k):
+            top = max(top, v)
+            assert got[i] == top
+    ends = order.trim_ends(spark.createDataFrame([("a", 0, 1), ("a", 0, 2), ("a", 1, 3), ("a", 2, 4), ("b", 0, 1), ("b", 1, 2)], "f string, pos int, x int"), "f", "pos")
+    assert sorted((r["f"], r["pos"]) for r in ends.collect()) == [("a", 0), ("a", 1)]
 
 
 def test_floor_division(spark):
@@ -134,7 +250,7 @@ def rounded(v):
     return round(float(v), 4) if isinstance(v, float) else tuple(map(rounded, v)) if isinstance(v, (list, tuple)) else v
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(queries.SQL) if n not in ("number_to_vietnamese", "tumbling_chunks")])
+@pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_equals_sql(spark, name):
     c = duckdb.connect()
     for t in TABLES:
