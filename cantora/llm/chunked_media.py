@@ -2,12 +2,15 @@
 
 A text's UTF-8 bytes, filled up with zeros to a positive multiple of 64, are the 8-bit samples of a WAV
 file (mono, 16 kHz): 44 bytes of header and the payload. A gear hash of the last 32 bytes rolls
-over the file; a chunk ends where its lowest MASK_BITS bits are zero (not before LEAST bytes, at MOST in any case).
+over the file; a chunk ends where its highest MASK_BITS bits are zero (not before LEAST bytes, at MOST in any case).
 
 Chunks are keyed by SHA-256. The store keeps the bytes of each digest once (compressed), recipes keep
 the digests in order. Media come back by joining recipes with the store; each chunk's digest and the whole file's are
 checked before features are computed. Equal texts share one recipe, so a large group of copies
-is put together once. Null: as the empty text (64 zero bytes).
+is put together once. Null: as the empty text (64 zero bytes). Texts of any length are chunked whole. Rows that repeat, and null ids, have a row each. An empty table gives no rows. Only doc_id
+and text are read, whatever other columns are called.
+
+The store is what the digests' aggregation holds: its shuffle files are the stored bytes, from which media are read back. It is not written as a table of its own.
 """
 
 from __future__ import annotations
@@ -95,8 +98,11 @@ def recipes(docs: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame) -> bytes:
-    """A compression dictionary from a bounded sample; empty if there is too little text."""
-    rows = docs.select(F.substring("text", 1, DICTIONARY_PIECE).alias("t")).where("t <> ''").limit(DICTIONARY_ROWS).collect()
+    """A compression dictionary from a bounded sample of all rows, chosen by a hash of the id; empty if there is too little text."""
+    every = max(1, docs.count() // DICTIONARY_ROWS)
+    lot = F.xxhash64(F.lit("dictionary"), "doc_id")
+    some = docs.where(F.pmod(lot, F.lit(every)) == 0).select(lot.alias("lot"), F.substring("text", 1, DICTIONARY_PIECE).alias("t")).where("t <> ''")
+    rows = some.orderBy("lot", "t").limit(DICTIONARY_ROWS).collect()
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [r["t"].encode() for r in rows]).as_bytes()
     except zstandard.ZstdError:

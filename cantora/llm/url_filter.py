@@ -7,7 +7,11 @@ tokens is as confident. They are matched by an inverted index: a rule is listed
 tokens and then must hold all of the rule's. The most confident rule gives the verdict of the urls that
 no base rule fits; ``allow`` where none matches. Null urls, or without ``://``: host and path are empty.
 
-The number of rules follows from the least support and not from the number of urls.
+The number of rules follows from the least support and not from the number of urls. Tokens that many urls hold together make many itemsets: a shape of url that is more frequent than the least
+support, with very many parameters, wants a larger ``min_support``.
+
+Repeated urls count as often as they occur and get one verdict; pages that repeat have a row each. Ties between rules: more tokens, then block, then the tokens' order. An empty table gives no rows.
+Only page_id and url are read, whatever other columns are called.
 """
 
 from __future__ import annotations

@@ -230,6 +230,36 @@ def test_nearest_neighbours(spark):
     assert collision_search.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_nearest_rows_under_one_id(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((40, 8))
+    rows = [(i, r.tolist()) for i, r in enumerate(x)] + [(50, x[0].tolist()), (50, x[1].tolist()), (50, x[1].tolist()), (7, (x[7] * 2).tolist())]
+    got = collision_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 50).collect()
+    # two queries of one id, each without itself, but with the other among its candidates
+    assert sorted(r["rank"] for r in got) == sorted([1, 2, 3, 4, 5] * 2) and {r["vec_id"] for r in got if r["rank"] == 1} == {0, 1}
+    few = collision_search.nearest(spark.createDataFrame(rows[:3] + [(50, x[5].tolist())], "vec_id long, embedding array<double>"), F.col("vec_id") == 50).collect()
+    assert sorted(r["vec_id"] for r in few) == [0, 1, 2]
+
+
+def test_nearest_verifies_few(spark):
+    """Recall against brute force on the largest table of the tests, and the share of the vectors that is verified."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = {r["vec_id"]: r["embedding"] for r in df.collect()}
+    ids = np.array(sorted(rows))
+    x = np.array([rows[i] for i in ids], float)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got, verified = {}, []
+    for r in collision_search.nearest(df, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        verified.append(r["verified"])
+    hits = 0
+    for q, found in got.items():
+        cos = unit @ unit[np.searchsorted(ids, q)]
+        cos[np.searchsorted(ids, q)] = -2
+        hits += len(found & set(ids[np.lexsort((ids, -cos))[:5]].tolist()))
+    assert hits >= 0.93 * 5 * len(got) and max(verified) < 0.25 * len(ids)
+
+
 def test_url_verdicts(spark):
     rng = random.Random(3)
     urls = [f"https://{rng.choice(['m', 'www', 'blog'])}.{rng.choice('abc')}.example.{rng.choice(['com', 'org', 'net'])}/{rng.choice(['en', 'de', 'fr', 'es'])}/{rng.randint(1, 300)}" for _ in range(400)]
@@ -251,6 +281,44 @@ def test_url_verdicts(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_mined_rules_by_hand(spark):
+    """Verdicts of urls without a base rule, from all combinations of tokens."""
+    from itertools import combinations
+
+    rng = random.Random(31)
+    urls = [f"http://{rng.choice(['a', 'b', 'm'])}.x.{rng.choice(['org', 'com', 'com', 'com', 'net', 'de'])}/{rng.choice(['de', 'fr', 'shop'])}/{rng.choice(['p', 'q'])}{rng.randint(1, 50)}?{rng.choice(['id=1', 'ref=2', ''])}" for _ in range(300)]
+    got = {r["page_id"]: r for r in url_filter.judge(spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, verdict string"), min_support=0.05, min_confidence=0.7).collect()}
+
+    def tokens(u):
+        host, _, rest = u[7:].partition("/")
+        path, _, query = rest.partition("?")
+        return frozenset([f"host:{x}" for x in host.split(".")] + [f"path:{re.sub('[0-9]+', '#', x)}" for x in path.split("/")] + [f"query:{x.partition('=')[0]}" for x in query.split("&") if x])
+
+    def base(u):
+        host, _, rest = u[7:].partition("/")
+        fits = [(h + p, v) for h, p, v in url_filter.BASE_RULES if (host == h or host.endswith("." + h)) and ("/" + rest.partition("?")[0]).startswith(p)]
+        return max(fits, key=lambda f: len(f[0]))[1] if fits else None
+
+    rows = [(tokens(u), base(u)) for u in urls if base(u)]
+    items, both = {}, {}
+    for t, v in rows:
+        for n in range(1, len(t) + 1):
+            for c in combinations(sorted(t), n):
+                items[c] = items.get(c, 0) + 1
+                both[c, v] = both.get((c, v), 0) + 1
+    rules = {(c, v): n / items[c] for (c, v), n in both.items() if n >= 0.05 * len(rows) and n / items[c] >= 0.7}
+    kept = {k: conf for k, conf in rules.items() if not any(rules.get((part, k[1]), -1) >= conf for n in range(1, len(k[0])) for part in combinations(k[0], n))}
+    mined = 0
+    for i, u in enumerate(urls):
+        if base(u) is None:
+            fits = [(conf, len(c), v, c) for (c, v), conf in kept.items() if set(c) <= tokens(u)]
+            mined += bool(fits)
+            assert got[i]["verdict"] == (max(fits)[2] if fits else "allow") and got[i]["method_rule"] == (" ".join(max(fits)[3]) if fits else None), u
+        else:
+            assert got[i]["verdict"] == base(u) and got[i]["method_rule"] is None
+    assert mined > 50 and {r["verdict"] for i, r in got.items() if base(urls[i]) is None} == {"allow", "block"}
+
+
 def brute_components(fps):
     up = list(range(len(fps)))
 
@@ -293,9 +361,11 @@ def test_similar_groups(spark, docs, none):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = brute_groups({r["doc_id"]: r["text"] for r in table.collect()})
     assert len(set(want.values())) < len(want)
-    for tile in (simhash.SIMILAR_TILE, 16):
-        assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table, tile=tile).collect()} == want
-    assert {r["doc_id"] for r in simhash.keep_one(table).select("doc_id").collect()} == set(want.values())
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table).collect()} == want
+    small = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = brute_groups({r["doc_id"]: r["text"] for r in small.collect()})
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(small, tile=16).collect()} == want
+    assert {r["doc_id"] for r in simhash.keep_one(small).select("doc_id").collect()} == set(want.values())
     got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(docs).collect()}
     assert got[1] == got[2] == 1 and got[3] == got[4] == 3 and got[5] == 5
     assert simhash.similar_groups(none).count() == 0 and simhash.keep_one(none).count() == 0
@@ -314,8 +384,7 @@ def test_similar_copies_of_one_text(spark):
     want = brute_groups(copies)
     assert 1 < len(set(want.values())) < 60
     df = spark.createDataFrame([*copies.items()], "doc_id long, text string")
-    for tile in (simhash.SIMILAR_TILE, 8):
-        assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df, tile=tile).collect()} == want
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df, tile=8).collect()} == want
 
 
 def test_links_inside_families(spark):
@@ -377,7 +446,7 @@ def test_similar_groups_beyond_the_radius(spark):
     assert len(set(want.values())) < 40
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(df).collect()} == want
-    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     want = brute_groups({r["doc_id"]: r["text"] for r in table.collect()})
     assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table, radius=-1).collect()} == want
 
@@ -405,7 +474,7 @@ def test_links_send_few_copies(spark):
     assert [got.get(i, i) for i in range(len(fps))] == brute_components([int(f) for f in fps])
     plan = simhash.links(nodes, tile=64)._jdf.queryExecution().toString()
     assert len(simhash.blocks(3)) == 4 and sum(b for _, b in simhash.blocks(3)) == 64 and "Cartesian" not in plan and "NestedLoop" not in plan
-    for radius in (0, 1, 5):
+    for radius in (1, 5):
         got = {r["node"]: r["root"] for r in simhash.components(simhash.links(nodes, radius, tile=300)).collect()}
         assert len(set(got.values())) <= 400
 
@@ -618,22 +687,33 @@ def test_mix_equals_sql(spark):
 
 
 def test_pipeline_against_brute_force(spark, tmp_path):
+    """All five stages: rejected texts, near copies, secrets, the mix and the ids, each held against what its operator's plain form says."""
     import corpus_pipeline
+    import sentencepiece
 
-    rows = [(i, f"{'the river runs over stone and sand ' * 3}{i} ends here", "en", f"s{i % 3}", 1) for i in range(60)] + [(100, "password = abcdefghijkl12 " + "alpha beta gamma delta " * 5, "en", "s0", 1), (101, "password = abcdefghijkl12 " + "alpha beta gamma delta " * 5, "en", "s0", 1)]
+    rng = random.Random(41)
+    good = lambda: " ".join(rng.choice("the river runs over stone and sand while birds sing in old trees near a quiet house".split()) for _ in range(40))
+    rows = [(i, good() if i % 4 else f"{rng.choice(['zz### ', 'qq%%% '])}" * 40 + str(i), "en", f"s{i % 3}", 1) for i in range(160)]
+    rows += [(200 + i, rows[i][1] + " end", "en", "s0", 1) for i in range(1, 9)] + [(300, "password = qhwtzkvpmxrb12 " + good(), "en", "s1", 1)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    docs = {i: (t, s) for i, t, _, s, _ in rows}  # without a bad label nothing is rejected
-    groups = brute_groups({i: t for i, (t, _) in docs.items()})
-    stay = [i for i, root in groups.items() if i == root]
-    left = {i: (secret_scan.redacted(docs[i][0], secret_scan.Guesser(secret_scan.read_words())), docs[i][1]) for i in stay}
-    assert 101 not in left and "abcdefghijkl12" not in left[100][0]
-    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    by_id = {}
-    for r in out:
-        assert r["round_trip"] and r["decoded_sha256"] == hashlib.sha256(left[r["doc_id"]][0].encode()).hexdigest()
-        by_id[r["doc_id"]] = by_id.get(r["doc_id"], 0) + 1
-    assert set(by_id) <= set(left) and max(by_id.values()) <= 3
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(160)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = {r["doc_id"] for r in quality.classify(docs, quality.learn_fold(docs, labels)).collect() if r["predicted"]}
+    assert {i for i, *_ in rows if i < 160 and i % 4} <= kept and not {i for i, *_ in rows if i < 160 and i % 4 == 0} & kept
+    text, source = {i: t for i, t, *_ in rows}, {i: s for i, _, _, s, _ in rows}
+    groups = brute_groups({i: text[i] for i in kept})
+    guesser = secret_scan.Guesser(secret_scan.read_words())
+    left = {i: secret_scan.redacted(text[i], guesser) for i, root in groups.items() if i == root}
+    assert not {200 + i for i in range(1, 9) if i % 4} & set(left) and "qhwtzkvpmxrb12" not in left[300]
+    mix = mixing.mix(spark.createDataFrame([(i, t, source[i]) for i, t in left.items()], "doc_id long, text string, source string")).collect()
+    want = {r["doc_id"]: r["copies"] for r in mix if r["copies"]}
+    plain = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_codec.read_model())
+    got = {}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        assert r["round_trip"] and r["ids"] == plain.encode(left[r["doc_id"]]) and r["decoded_sha256"] == hashlib.sha256(left[r["doc_id"]].encode()).hexdigest()
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + 1
+    assert got == want and len(got) > 30
 
 
 def test_fixity_of_stored_offsets(spark):
