@@ -50,7 +50,7 @@ BINS, PAIRS_AT_ONCE = 256, 1 << 14
 #: Shingles of a family that are compared in one group at most.
 FAMILY_SHINGLES = 1 << 21
 #: Documents in which common shingles are looked for, how many of them a common shingle is in, and how many are kept. They change the order of work, not the links.
-COMMON_SAMPLE, COMMON_LEAST, COMMON_MOST = 10_000, 10, 1 << 16
+COMMON_SAMPLE, COMMON_LEAST, COMMON_MOST = 25_000, 8, 1 << 17
 #: First shingles that are held in one group, about: packed, and as rows with sketches.
 PREFIX_ROWS, MET_ROWS = 1 << 18, 1 << 15
 
@@ -325,7 +325,7 @@ def similar_candidates(nodes: DataFrame, radius: int, similarity: float, tile: i
 
 
 def common_hashes(docs: DataFrame, width: int) -> np.ndarray:
-    """Sorted hashes of the shingles that many of some 10,000 documents hold."""
+    """Sorted hashes of the shingles that many of some COMMON_SAMPLE documents hold."""
 
     def make() -> Callable:
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -342,7 +342,7 @@ def common_hashes(docs: DataFrame, width: int) -> np.ndarray:
 
 def first_hashes(distinct: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
     """The first n - ceil(similarity * n) + 1 of sorted distinct hashes, common ones last."""
-    last = np.isin(distinct, common, assume_unique=True)
+    last = common[np.minimum(np.searchsorted(common, distinct), len(common) - 1)] == distinct if len(common) else np.zeros(len(distinct), bool)
     return np.concatenate([distinct[~last], distinct[last]])[: len(distinct) - int(np.ceil(similarity * len(distinct) - 1e-9)) + 1]
 
 
