@@ -29,7 +29,7 @@ PER_LANGUAGE = 4000
 LANGUAGES = 128
 SMOOTHING = 0.5
 #: Characters that are counted in one go.
-PIECE = 1 << 18
+PIECE = 1 << 16
 #: Products that are summed in one go.
 PRODUCTS = 1 << 20
 
@@ -54,8 +54,8 @@ def pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def sparse_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text's number, bucket, count), sorted: the counts of the texts' 1- to 3-grams."""
-    keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    """(text's number, bucket, count), by number: the counts of the texts' 1- to 3-grams. A text in several pieces has several counts of a bucket, which add up."""
+    keys, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for c, k, seen in pieces(texts):
         one = c * np.uint32(0x9E3779B1)
         two = (one[:-1] ^ (c[1:] + np.uint32(0x7F4A7C15))) * np.uint32(0x85EBCA6B)
@@ -63,11 +63,10 @@ def sparse_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         # a gram counts where its last character is new, and all are of one text
         found = [(k[n:] * BUCKETS + (g >> np.uint32(18)))[~seen[n:] & (k[n:] == k[: len(k) - n])] for n, g in enumerate((one, two, three))]
         new, n = np.unique(np.concatenate(found), return_counts=True)
-        if len(keys):
-            new, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            n = np.bincount(back, np.concatenate([counts, n]), len(new)).astype(np.int64)
-        keys, counts = new, n
-    return keys // BUCKETS, keys % BUCKETS, counts
+        keys.append(new)
+        counts.append(n)
+    every = np.concatenate(keys)
+    return every // BUCKETS, every % BUCKETS, np.concatenate(counts)
 
 
 def gram_counts(text: str) -> np.ndarray:
