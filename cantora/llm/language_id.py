@@ -29,7 +29,7 @@ PER_LANGUAGE = 4000
 LANGUAGES = 128
 SMOOTHING = 0.5
 #: Characters that are counted in one go.
-PIECE = 1 << 16
+PIECE = 1 << 14
 #: Products that are summed in one go.
 PRODUCTS = 1 << 20
 
