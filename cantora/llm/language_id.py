@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantora.llm.common import crc_mod, map_batches, materialize, slices, table
+from cantora.llm.common import broadcast_if_small, crc_mod, map_batches, materialize, slices, table
 
 BUCKETS = 1 << 14
 #: The bound of the sample: documents of a language that are learned from, as expected.
@@ -98,7 +98,7 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str],
         return [], np.zeros((BUCKETS, 0))
     shares = docs.sparkSession.createDataFrame([(lang, k, min(1.0, per_language / sizes[lang])) for k, lang in enumerate(languages)], "lang string, number int, share double")
     lot = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.join(shares, "lang").where(lot < F.col("share")).select("text", "number")
+    sample = known.join(broadcast_if_small(shares), "lang").where(lot < F.col("share")).select("text", "number")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
