@@ -419,13 +419,20 @@ def prefix_links(nodes: DataFrame, firsts: DataFrame, families: DataFrame, simil
         keep = np.zeros(len(group), bool)
         for i, j in meetings(*(group[c].to_numpy() for c in columns), similarity):
             keep[i] = keep[j] = True
-        return group[["token", "rep", "family", "n"]][keep]
+        kept = group[["token", "rep", "family", "n"]][keep]
+        token = kept["token"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
+        if len(starts):
+            # the rows that hold a hash, as one number
+            holders = np.add.reduceat(pd.util.hash_array(kept["rep"].to_numpy()), starts)
+            kept["token"] = np.repeat(holders, np.diff(np.r_[starts, len(token)])).view(np.int64)
+        return kept
 
     def link(group: pd.DataFrame) -> pd.DataFrame:
         group = ordered(group)
         marks = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, BINS)
-        n, rep = group["n"].to_numpy(), group["rep"].to_numpy()
-        pairs = [np.empty((0, 4), np.int64)]
+        n, rep, times = group["n"].to_numpy(), group["rep"].to_numpy(), group["times"].to_numpy()
+        pairs, shared = [np.empty((0, 4), np.int64)], [np.empty(0, np.int64)]
         for i, j in meetings(*(group[c].to_numpy() for c in columns), similarity):
             for k in range(0, len(i), PAIRS_AT_ONCE):
                 a, b = i[k : k + PAIRS_AT_ONCE], j[k : k + PAIRS_AT_ONCE]
@@ -434,12 +441,17 @@ def prefix_links(nodes: DataFrame, firsts: DataFrame, families: DataFrame, simil
                 a, b = a[take], b[take]
                 a, b = np.where(rep[a] < rep[b], a, b), np.where(rep[a] < rep[b], b, a)
                 pairs.append(np.stack([rep[a], rep[b], n[a], n[b]], 1))
-        found, times = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
-        return pd.DataFrame({**dict(zip(("u", "v", "nu", "nv"), found.T, strict=True)), "times": times})
+                shared.append(np.minimum(times[a], times[b]))
+        found, which = np.unique(np.concatenate(pairs), axis=0, return_inverse=True)
+        sums = np.zeros(len(found), np.int64)
+        np.add.at(sums, which.ravel(), np.concatenate(shared))
+        return pd.DataFrame({**dict(zip(("u", "v", "nu", "nv"), found.T, strict=True)), "times": sums})
 
     dealt = lambda df, count: df.withColumn("g", F.pmod(F.xxhash64("token"), F.lit(max(partitions, -(-count // MET_ROWS))))).groupBy("g")
     # the groups of the first pass hold no sketches, so rows of some ten times as many hashes fit
-    met = materialize(dealt(rows, total // 10).applyInPandas(meeting, "token long, rep long, family long, n long"))
+    kept = dealt(rows, total // 10).applyInPandas(meeting, "token long, rep long, family long, n long")
+    # hashes that the same rows hold (a passage's, or those of near copies) become one that counts so many times; sets that meet in one number bring up more pairs and lose none
+    met = materialize(kept.groupBy("token", "rep", "family", "n").agg(F.count(F.lit(1)).alias("times")))
     marked = met.join(nodes.select("rep", "sketch"), "rep")
     pairs = dealt(marked, met.count()).applyInPandas(link, "u long, v long, nu long, nv long, times long").groupBy("u", "v", "nu", "nv").agg(F.sum("times").alias("times"))
     # sets so similar share this many hashes; of those, the first hashes of the set whose last one comes first can lack only as many as that set has unshared
