@@ -2,9 +2,12 @@
 
 The lattice runs over characters. Node ``k`` keeps the best way to segment the first ``k``
 characters as (score, start, piece id); only a window of the longest piece's length can still be
-extended. From time to time the backpointers of all nodes in the window are followed: where they
-meet in one boundary, everything before it is decided and its ids are committed, so memory is
-bounded by the window and not by the text.
+extended. An automaton of all pieces runs over the characters and gives the edges that end at each. After each block the backpointers
+of all nodes in the window are followed: where they meet in one boundary, everything before it is decided and its ids are
+committed, so memory is bounded by the window and not by the text. This one search serves words and texts of any length.
+
+Where no piece holds a space after another character, all paths meet before each space whatever comes later. So a text is committed
+there at once, and the ids between two spaces depend on nothing else; a worker remembers those of recent words.
 
 Two kinds of models share the search:
 
@@ -26,6 +29,7 @@ import heapq
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +43,10 @@ MODEL_BYTES = 64 << 20
 #: Distinct words whose ids a Python worker remembers (two generations).
 CACHE_WORDS = 150_000
 PAIR_CACHE = 1_000_000
-#: Words up to this many characters are one window of the search, which is then run without committing.
-WINDOW = 64
+#: Longer words are searched each time.
+CACHE_LENGTH = 64
+#: Characters between two looks at where the paths meet.
+BLOCK = 64
 
 
 def read_model(path: str = MODEL_PATH) -> bytes:
@@ -51,6 +57,47 @@ def read_model(path: str = MODEL_PATH) -> bytes:
     return model
 
 
+class Window:
+    """The nodes that a coming piece may still reach back to or that are not decided. Node k, after k characters from ``start``: the
+    last piece of the best way there, its length, and for unigram models the sum. Node 0 is the last committed boundary."""
+
+    __slots__ = ("out", "piece", "size", "start", "total")
+
+    def __init__(self) -> None:
+        self.start, self.piece, self.size, self.total = 0, [-1], [0], [0.0]
+        self.out: list[int] = []  # committed ids
+
+    def end(self) -> int:
+        return self.start + len(self.piece) - 1
+
+    def meeting(self, width: int) -> int:
+        """The last boundary on the ways to all nodes that a coming piece of at most ``width`` characters can start from."""
+        last = len(self.piece) - 1
+        alive = set(range(max(0, last - width + 1), last + 1))
+        while len(alive) > 1:
+            k = max(alive)
+            alive.discard(k)
+            alive.add(k - self.size[k])
+        return alive.pop()
+
+    def commit(self, k: int) -> None:
+        """The way to node k is decided: its ids go out, and the window begins there."""
+        ids, e = [], k
+        while e > 0:
+            ids.append(self.piece[e])
+            e -= self.size[e]
+        self.out += reversed(ids)
+        del self.piece[:k], self.size[:k], self.total[:k]
+        self.start += k
+
+    def restart(self, length: int, ids: list[int]) -> None:
+        """All is decided, ``ids`` for the next ``length`` characters too; nothing before them restricts what follows."""
+        self.commit(len(self.piece) - 1)
+        self.out += ids
+        self.start += length
+        self.piece, self.size, self.total = [-1], [0], [0.0]
+
+
 class Codec:
     """Pieces, scores and the search. ``pieces``: (text, score) of ordinary pieces by id."""
 
@@ -60,10 +107,16 @@ class Codec:
         self.score = {t: s for t, s in pieces.values()}
         self.text = {i: t for i, (t, _) in pieces.items()}
         self.width = max(map(len, self.id), default=1)
-        self.prefixes = {t[:k] for t in self.id for k in range(1, len(t) + 1)}
         self.raw = {i: t.replace(SPACE, " ").encode() for i, t in self.text.items()} | {i: bytes([b]) for b, i in byte_ids.items()}
-        #: Id of a piece's text, -1 for what only begins a piece.
-        self.walk = dict.fromkeys(self.prefixes, -1) | self.id
+        self.many = max(self.text, default=0) + 1
+        #: Finds the pieces that end at a character, longest first. One that holds a character that is no piece is out of reach.
+        self.automaton = ahocorasick.Automaton()
+        for t, i in self.id.items():
+            if all(c in self.id for c in t):
+                self.automaton.add_word(t, (i, len(t)))
+        if not len(self.automaton):
+            raise ValueError("a model needs a piece of one character")
+        self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.old_words: dict[str, tuple[int, ...]] = {}
@@ -108,7 +161,7 @@ class Codec:
 
     def admits(self, left: int, right: int) -> bool:
         """Whether ``right`` may follow ``left`` in a merge result."""
-        key = left << 32 | right
+        key = left * self.many + right
         got = self.pairs.get(key)
         if got is None:
             if len(self.pairs) >= PAIR_CACHE:
@@ -117,111 +170,75 @@ class Codec:
             got = self.pairs[key] = self.merge(a + b) == [a, b]
         return got
 
-    def window(self, s: str) -> tuple[int, ...] | None:
-        """``stream`` of a text that is one window: the same nodes, reached forward from each start. None if a character
-        is no piece, for then bytes are needed."""
-        n, walk, pairs, admits = len(s), self.walk, self.pairs, self.admits
-        left, back = [-1] * (n + 1), [-1] * (n + 1)
-        for j in range(n):
-            i = left[j]
-            if i < 0 and j:
-                return None
-            for e in range(j + 1, n + 1):
-                k = walk.get(s[j:e])
-                if k is None:
-                    break
-                if k >= 0 and left[e] < 0:
-                    if i >= 0:
-                        ok = pairs.get(i << 32 | k)
-                        if ok is None:
-                            ok = admits(i, k)
-                        if not ok:
-                            continue
-                    left[e], back[e] = k, j
-        if left[n] < 0:
-            return None
-        out, e = [], n
-        while e > 0:
-            out.append(left[e])
-            e = back[e]
-        return (*reversed(out),)
-
-    def stream(self, chars: Iterable[str]) -> Iterator[int]:
-        """Ids of a stream of characters (spaces as U+2581), as soon as they are decided."""
-        window = ""  # characters after the last committed boundary
-        # nodes[k]: the best way to the k-th character of the window, as (score, start, id)
-        nodes: list[tuple[float, int, int] | None] = [(0.0, -1, -1)]
-        tails: list[int] = []  # starts of character runs that still are the beginning of a piece
-        seen, check = 0, 4 * self.width
-        bpe, prefixes, ids = self.kind == "bpe", self.prefixes, self.id
-        for ch in chars:
-            window += ch
-            seen += 1
-            if ch not in ids:  # bytes: a boundary on both sides
-                yield from self._path(nodes, seen - 1)
-                yield from (self.bytes_of.get(b, self.unknown) for b in ch.encode()) if self.bytes_of else (self.unknown,)
-                window, nodes, tails, seen = "", [(0.0, -1, -1)], [], 0
+    def stream(self, parts: Iterable[str]) -> Iterator[int]:
+        """Ids of a stream of strings (spaces as U+2581), as soon as they are decided. However it is cut into strings, the ids are the same."""
+        w, found, seen = Window(), None, 0
+        advance = self._advance_bpe if self.kind == "bpe" else self._advance_unigram
+        for part in parts:
+            for at in range(0, len(part), BLOCK):
+                block = part[at : at + BLOCK]
+                if found is None:
+                    found = self.automaton.iter(block)
+                else:
+                    found.set(block)  # the automaton goes on in its state
+                advance(found, w, block, seen)
+                seen += len(block)
+                if w.end() < seen:
+                    self._bytes(w, block[len(block) - seen + w.end() :])
+                if len(w.piece) > 4 * self.width and (keep := w.meeting(self.width)) > 0:
+                    w.commit(keep)
+                if w.out:
+                    yield from w.out
+                    w.out = []
+        w.commit(len(w.piece) - 1)
+        yield from w.out
+
+    def _bytes(self, w: Window, chars: str) -> None:
+        """Characters that are no pieces: a boundary on both sides."""
+        w.restart(len(chars), [self.bytes_of.get(b, self.unknown) for b in chars.encode()] if self.bytes_of else [self.unknown] * len(chars))
+
+    def _advance_bpe(self, found: Iterable, w: Window, block: str, seen: int) -> None:
+        """Nodes at the ends of ``found``, the pieces that end in ``block``, which begins after ``seen`` characters: for each end
+        the longest piece comes first, and the first that may follow the node at its start decides."""
+        piece, size, pairs, many = w.piece, w.size, self.pairs, self.many
+        start, n = w.start, len(piece)
+        for end, (i, length) in found:
+            k = end + 1 - start
+            if k < n:
                 continue
-            tails = [j for j in tails if window[j:] in prefixes]
-            tails.append(seen - 1)
-            best = None
-            for j in tails:
-                i = ids.get(window[j:])
-                if i is None or (node := nodes[j]) is None:
+            if k > n:
+                self._bytes(w, block[w.end() - seen : end - seen])
+                piece, size, start, n = w.piece, w.size, w.start, 1
+            left = piece[n - length]
+            if left >= 0:
+                ok = pairs.get(left * many + i)
+                if not (self.admits(left, i) if ok is None else ok):
                     continue
-                if bpe:
-                    left = node[2]
-                    if left < 0 or self.admits(left, i):
-                        best = (0.0, j, i)
-                        break
-                else:
-                    total = node[0] + self.score[self.text[i]]
-                    if best is None or total > best[0]:
-                        best = (total, j, i)
-            nodes.append(best)
-            if seen >= check:
-                keep = self._meeting(nodes, seen, tails[0])
-                if keep > 0:
-                    yield from self._path(nodes, keep)
-                    window = window[keep:]
-                    nodes = [(n[0], n[1] - keep, n[2]) if n else None for n in nodes[keep:]]
-                    nodes[0] = (nodes[0][0], -1, nodes[0][2])
-                    tails = [j - keep for j in tails]
-                    seen -= keep
-                check = seen + 2 * self.width
-        yield from self._path(nodes, seen)
-
-    def _meeting(self, nodes: list, end: int, first: int) -> int:
-        """The last boundary on the paths of all nodes that a coming piece can start from."""
-        alive = {k for k in range(max(first, 0), end + 1) if nodes[k] is not None}
-        while len(alive) > 1:
-            k = max(alive)
-            alive.discard(k)
-            alive.add(max(nodes[k][1], 0))
-        return alive.pop()
-
-    @staticmethod
-    def _path(nodes: list, k: int) -> list[int]:
-        out = []
-        while k > 0:
-            _, j, i = nodes[k]
-            out.append(i)
-            k = j
-        return out[::-1]
-
-    def _unit(self, s: str) -> tuple[int, ...]:
-        got = self.window(s) if self.kind == "bpe" and len(s) <= WINDOW else None
-        return (*self.stream(s),) if got is None else got
+            piece.append(i)
+            size.append(length)
+            n += 1
+
+    def _advance_unigram(self, found: Iterable, w: Window, block: str, seen: int) -> None:
+        """As ``_advance_bpe``; the best sum decides, and the longest piece between equal ones."""
+        for end, (i, length) in found:
+            k = end + 1 - w.start
+            if k > len(w.piece):
+                self._bytes(w, block[w.end() - seen : end - seen])
+                k = 1
+            total = w.total[k - length] + self.score[self.text[i]]
+            if k == len(w.piece):
+                w.piece.append(i)
+                w.size.append(length)
+                w.total.append(total)
+            elif total > w.total[k]:
+                w.piece[k], w.size[k], w.total[k] = i, length, total
 
     def _word(self, w: str) -> tuple[int, ...]:
-        """Ids of one word of the quick path: ``\\nx`` is a line break and then x."""
+        """Ids between two spaces: ``\\nx`` is a line break and then x, anything else follows a space."""
         got = self.old_words.get(w)
         if got is None:
-            if w[:1] == "\n":
-                got = (*self.stream("\n"), *self._unit(w[1:]))
-            else:
-                got = self._unit(SPACE + w)
-        if len(w) <= WINDOW:
+            got = (*self.stream((w if w[:1] == "\n" else SPACE + w,)),)
+        if len(w) <= CACHE_LENGTH:
             if len(self.words) >= CACHE_WORDS:
                 self.words, self.old_words = {}, self.words
             self.words[w] = got
@@ -231,7 +248,7 @@ class Codec:
         if not text:
             return []
         if SPACE in text or "  " in text or text[-1] == " " or text[0] == " " or " \n" in text or not self.by_word:
-            return [*self._slow(text)]
+            return [*self._whole(text)]
         words, get = self.words, self._word
         out: list[tuple[int, ...]] = []
         for w in text.replace("\n", " \n").split(" ") if text[0] != "\n" else [None, *text.replace("\n", " \n").split(" ")[1:]]:
@@ -245,14 +262,13 @@ class Codec:
             out.append(ids)
         return [*chain.from_iterable(out)]
 
-    def _slow(self, text: str) -> Iterator[int]:
+    def _whole(self, text: str) -> Iterator[int]:
         """Any text, as one stream; literal U+2581 becomes bytes."""
-        parts = text.split(SPACE)
         byte_space = [self.bytes_of.get(b, self.unknown) for b in SPACE.encode()] if self.bytes_of else [self.unknown]
-        for n, part in enumerate(parts):
+        for n, part in enumerate(text.split(SPACE)):
             if n:
                 yield from byte_space
-            yield from self.stream(chain(SPACE if n == 0 else "", (SPACE if c == " " else c for c in part)))
+            yield from self.stream((SPACE if n == 0 else "", part.replace(" ", SPACE)))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         """The text's bytes. The space that encoding puts in front is taken off."""

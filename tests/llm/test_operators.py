@@ -521,6 +521,35 @@ def test_codec(spark, docs, none):
     assert len(rows) == len(ROWS) and all(r["round_trip"] for r in rows) and sentencepiece_codec.encoded_digests(none, model).count() == 0
 
 
+@pytest.mark.skipif(not os.path.exists(sentencepiece_codec.MODEL_PATH), reason="no model")
+def test_codec_commits_early_and_for_any_cut(monkeypatch):
+    """The window stays small, ids come out before the text ends, and neither blocks nor strings of a stream change them."""
+    codec = sentencepiece_codec.Codec.from_model(sentencepiece_codec.read_model())
+    rng = random.Random(8)
+    text = "▁" + "".join(rng.choice("aeinorst日\n") for _ in range(5000))
+    whole = [*codec.stream((text,))]
+    widest, read = [0], [0]
+    meeting = sentencepiece_codec.Window.meeting
+
+    def watched(self, width):
+        widest[0] = max(widest[0], len(self.piece))
+        return meeting(self, width)
+
+    def pieces():
+        while read[0] < len(text):
+            n = rng.randint(1, 9)
+            read[0] += n
+            yield text[read[0] - n : read[0]]
+
+    monkeypatch.setattr(sentencepiece_codec.Window, "meeting", watched)
+    ids = codec.stream(pieces())
+    first = next(ids)
+    assert read[0] < 400 and [first, *ids] == whole and 0 < widest[0] < 12 * codec.width
+    for block in (1, 7, 1000):
+        monkeypatch.setattr(sentencepiece_codec, "BLOCK", block)
+        assert [*codec.stream((text,))] == whole
+
+
 def test_unigram_lattice_equals_brute_force():
     pieces = {i: (p, s) for i, (p, s) in enumerate([("▁", -3.0), ("a", -2.0), ("b", -2.1), ("ab", -3.5), ("aba", -5.0), ("ba", -3.9), ("▁a", -3.2)], 1)}
     codec, score = sentencepiece_codec.Codec(pieces, {}, "unigram"), {t: s for t, s in pieces.values()}
