@@ -1,13 +1,16 @@
 """WARC records and their Merkle fixity audit.
 
 ``to_records`` frames pages as WARC response records. ``audit`` compares two replicas of records: each record is
-hashed; equal records of one id are one run with a count; runs are laid out by id within segments of SEGMENT ids, which gives
-ordered offset ranges. The tree's leaf for an id hashes its runs, an inner node hashes its up to FANOUT children
-in order. Starting from the roots, only children of nodes that differ are compared further, down to
-the ids whose records are damaged or missing. All of it is DataFrame operations: levels are aggregates on shifted ids.
-
-Null ids are spread over negative leaf numbers by content, so no leaf gathers them all. A leaf's runs
-are summed, not collected, so that an id with very many records stays one small row.
+hashed by SHA-256; equal records of one id are one run with a count. Runs are laid out by id within segments of SEGMENT ids, and by digest
+within an id. Each node of the tree hashes its children in this order: what they are called, the offset range that each takes in the node,
+and their hashes. The lowest nodes are the bins of an id (by the first hexadecimal digits of the digests), over them
+are the ids (leaves), the segments, and up to FANOUT nodes a level. Ranges count from the node's own beginning, so that a lost record
+changes the nodes above it and no others. Starting from the roots, only children of nodes that differ are
+compared further, down to the bins whose records are damaged or missing. All of it is DataFrame operations, a shuffle a level.
+
+Null ids are spread over negative leaf numbers by content, so no leaf gathers them all. An id with very many different records is spread
+over its bins: a leaf has 16 ** BIN_DIGITS of them at most. Repeated records are counted. Empty tables give no rows. Only page_id, record, and
+where replicas have them path and offset are read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -20,7 +23,10 @@ from pyspark.sql import Window
 
 from cantora.llm.common import materialize, table
 
-FANOUT_BITS, SEGMENT = 4, 1024
+FANOUT_BITS = 10
+#: Ids of a segment, which is the node above its leaves.
+SEGMENT = FANOUT = 1 << FANOUT_BITS
+BIN_DIGITS = 4
 #: Leaf numbers for null ids: -1 to -NULL_LEAVES.
 NULL_LEAVES = 1 << 16
 
@@ -81,29 +87,41 @@ def runs(records: DataFrame) -> DataFrame:
     return hashed.groupBy("page_id", "sha256", "length").agg(F.count(F.lit(1)).alias("copies"), F.sum(F.col("place").cast("decimal(38,0)")).alias("places")).withColumn("leaf", leaf)
 
 
-def tree(found: DataFrame, levels: int) -> DataFrame:
-    """(level, node, hash) of all nodes. Level 0: a leaf for each id."""
-    total = lambda salt: F.sum(F.xxhash64(F.lit(salt), "sha256", "copies", "length", "places").cast("decimal(38,0)"))
-    level = found.groupBy(F.col("leaf").alias("node")).agg(F.sha2(F.concat_ws(":", F.count(F.lit(1)), total(1), total(2), total(3)), 256).alias("hash"))
-    out = level.select(F.lit(0).alias("level"), "node", "hash")
-    for k in range(1, levels + 1):
-        children = F.array_sort(F.collect_list(F.struct("node", "hash")))
-        level = level.groupBy(F.shiftright("node", FANOUT_BITS).alias("up")).agg(children.alias("c"))
-        level = level.select(F.col("up").alias("node"), F.sha2(F.concat_ws(",", F.transform("c", lambda x: F.concat_ws(":", x["node"], x["hash"]))), 256).alias("hash"))
-        out = out.unionAll(level.select(F.lit(k).alias("level"), "node", "hash"))
-    return out
+def under(rows: DataFrame, up: list[str], name: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (up, name, bytes, hash), each with the offset at which it starts in its node ``up``, and the nodes (up, bytes, hash)."""
+    before = Window.partitionBy(*up).orderBy(*name).rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("start", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+    children = F.array_sort(F.collect_list(F.struct(*name, "start", "bytes", "hash")))
+    entry = lambda x: F.concat_ws(":", *[F.coalesce(x[n].cast("string"), F.lit("")) for n in name], x["start"], x["start"] + x["bytes"], x["hash"])
+    return placed, placed.groupBy(*up).agg(F.sum("bytes").alias("bytes"), F.sha2(F.concat_ws(",", F.transform(children, entry)), 256).alias("hash"))
+
+
+def tree(found: DataFrame, levels: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Of ``runs``: they with their bin and start in it, the bins (leaf, bin, start, hash), and the nodes (node, start, hash) of each level. Level 0: a leaf for each id."""
+    content = F.concat_ws(":", "sha256", "copies", F.coalesce(F.col("places").cast("string"), F.lit("")))
+    rows = found.select("*", F.substring("sha256", 1, BIN_DIGITS).alias("bin"), (F.col("length") * F.col("copies")).alias("bytes"), content.alias("hash"))
+    placed, bins = under(rows, ["leaf", "bin"], ["sha256", "page_id"])
+    bins = materialize(under(bins, ["leaf"], ["bin"])[0])
+    level = under(bins.drop("start"), ["leaf"], ["bin"])[1].withColumnRenamed("leaf", "node")
+    nodes = []
+    for _ in range(levels):
+        nodes.append(materialize(under(level.withColumn("up", F.shiftright("node", FANOUT_BITS)), ["up"], ["node"])[0]))
+        level = under(nodes[-1].drop("start"), ["up"], ["node"])[1].withColumnRenamed("up", "node")
+    return placed, bins, [*nodes, materialize(level.withColumn("start", F.lit(0)))]
+
+
+def different(a: DataFrame, b: DataFrame, name: list[str]) -> DataFrame:
+    """The nodes that one side lacks or has with another hash."""
+    both = a.select(*name, "hash").join(b.select(*name, F.col("hash").alias("other")), name, "full")
+    return both.where(~F.col("hash").eqNullSafe(F.col("other"))).select(*name)
 
 
-def descend(a: DataFrame, b: DataFrame, levels: int) -> DataFrame:
+def descend(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
     """Leaves that differ, found from the roots through differing nodes only."""
-    differ = None
-    for k in range(levels, -1, -1):
-        x, y = (t.where(F.col("level") == k).select("node", "hash") for t in (a, b))
-        if differ is not None:
-            up = differ.select(F.col("node").alias("up"))
-            x, y = (t.join(up, F.shiftright("node", FANOUT_BITS) == up["up"], "left_semi") for t in (x, y))
-        both = x.join(y.withColumnRenamed("hash", "other"), "node", "full")
-        differ = both.where(~F.col("hash").eqNullSafe(F.col("other"))).select("node")
+    differ = different(a[-1], b[-1], ["node"])
+    for x, y in zip(a[-2::-1], b[-2::-1], strict=True):
+        up = differ.select(F.col("node").alias("up"))
+        differ = different(x.join(up, "up", "left_semi"), y.join(up, "up", "left_semi"), ["node"])
     return differ
 
 
@@ -117,20 +135,29 @@ root) are held to them too: moved (the second has the record as often, but at ot
     a, b = materialize(runs(first)), materialize(runs(second))
     most = a.unionAll(b).agg(F.max(F.abs("leaf"))).first()[0] or 0
     levels = max(1, -(-int(most).bit_length() // FANOUT_BITS))
-    ta, tb = materialize(tree(a, levels)), materialize(tree(b, levels))
-    bad = materialize(descend(ta, tb, levels))
-    segment = F.floor(F.col("leaf") / SEGMENT)
-    order = Window.partitionBy("segment").orderBy("leaf", "sha256").rowsBetween(Window.unboundedPreceding, -1)
-    place = lambda t: t.withColumn("segment", segment).withColumn("offset", F.coalesce(F.sum(F.col("length") * F.col("copies")).over(order), F.lit(0)))
-    marked = place(a).join(bad.select(F.col("node").alias("leaf"), F.lit(True).alias("differs")), "leaf", "left")
-    # only what lies under differing leaves is compared record by record
-    there = b.join(bad, F.col("leaf") == F.col("node"), "left_semi")
-    same = there.select("leaf", "sha256", "copies", F.lit(True).alias("same"), F.col("places").alias("other"))
-    ids = there.select("leaf", F.lit(True).alias("id_there")).distinct()
-    out = marked.join(same, ["leaf", "sha256", "copies"], "left").join(ids, "leaf", "left")
+    (runs_a, bins_a, nodes_a), (runs_b, bins_b, nodes_b) = tree(a, levels), tree(b, levels)
+    leaves = descend(nodes_a, nodes_b).withColumnRenamed("node", "leaf")
+    bad = different(bins_a.join(leaves, "leaf", "left_semi"), bins_b.join(leaves, "leaf", "left_semi"), ["leaf", "bin"])
+    ids = nodes_b[0].select(F.col("node").alias("leaf"), F.lit(True).alias("id_there"))
+    bad = materialize(bad.withColumn("differs", F.lit(True)).join(ids, "leaf", "left"))
+    key = ["leaf", "bin"]
+
+    def laid_out(placed: DataFrame, bins: DataFrame, nodes: list[DataFrame]) -> DataFrame:
+        """Runs with the offset in their segment, from the ranges of the nodes above them."""
+        at = bins.join(nodes[0].select(F.col("node").alias("leaf"), F.col("start").alias("leaf_start")), "leaf").select(*key, (F.col("start") + F.col("leaf_start")).alias("bin_start"))
+        return placed.join(at, key).withColumn("segment", F.shiftright("leaf", FANOUT_BITS)).withColumn("offset", F.col("start") + F.col("bin_start"))
+
+    marked = laid_out(runs_a, bins_a, nodes_a).join(bad, key, "left").withColumn("known", F.coalesce("page_id", F.lit(0))).withColumn("no_id", F.isnull("page_id"))
+    # only what lies in differing bins is compared record by record
+    record = [*key, "sha256", "known", "no_id"]
+    binned = lambda t: t.select("*", F.substring("sha256", 1, BIN_DIGITS).alias("bin"), F.coalesce("page_id", F.lit(0)).alias("known"), F.isnull("page_id").alias("no_id")).join(bad, key, "left_semi")
+    same = binned(b).select(*record, "copies", F.lit(True).alias("same"), F.col("places").alias("other"))
+    out = marked.join(same, [*record, "copies"], "left")
     status = F.when(F.col("differs").isNull() | F.col("same").isNotNull() & F.col("places").eqNullSafe(F.col("other")), "intact").when(F.col("same").isNotNull(), "moved").when(F.col("id_there").isNotNull(), "damaged").otherwise("missing")
     columns = ["page_id", "segment", "offset", "length", "sha256", "copies"]
-    extra = place(b).join(bad, F.col("leaf") == F.col("node"), "left_semi").join(a.select("leaf", "sha256"), ["leaf", "sha256"], "left_anti")
+    only = binned(b).join(binned(a).select(*record), record, "left_anti").select(*key, "sha256", "page_id")
+    there = laid_out(runs_b.join(bad, key, "left_semi"), bins_b, nodes_b)
+    extra = there.alias("t").join(only.alias("o"), F.expr("t.leaf = o.leaf AND t.bin = o.bin AND t.sha256 = o.sha256 AND t.page_id <=> o.page_id"), "left_semi")
     return out.select(*columns, status.alias("status")).unionAll(extra.select(*columns, F.lit("extra").alias("status")))
 
 
