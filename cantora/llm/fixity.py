@@ -15,6 +15,7 @@ where replicas have them path and offset are read, whatever other columns are ca
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,35 +48,43 @@ def to_records(pages: DataFrame) -> DataFrame:
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, headers, payload) of the records of a plain or gzipped WARC file. A broken tail ends it."""
+    """(offset, length, headers, payload) of the records of a plain or gzipped WARC file. What is no whole record, up to the next one's
+    beginning, comes as a record without headers, so that harm to one record costs no others."""
     if data[:2] == b"\x1f\x8b":
         import gzip
 
         data = gzip.decompress(data)
     at = 0
-    while (end := data.find(b"\r\n\r\n", at)) > 0 and data.startswith(b"WARC/", at):
-        lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        length = headers.get("content-length", "")
-        stop = end + 4 + int(length) if length.isdigit() else len(data) + 1
-        if stop > len(data):
-            return
-        yield at, stop + 4 - at, headers, data[end + 4 : stop]
-        at = stop + 4
+    while len(data) - at > 16 or data[at:].strip():
+        end = data.find(b"\r\n\r\n", at)
+        if end > 0 and data.startswith(b"WARC/", at):
+            lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+            headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+            length = headers.get("content-length", "")
+            stop = end + 4 + int(length) if re.fullmatch("[0-9]{1,18}", length) else len(data) + 1
+            if stop == len(data) or data[stop : stop + 4] == b"\r\n\r\n":
+                yield at, min(stop + 4, len(data)) - at, headers, data[end + 4 : stop]
+                at = stop + 4
+                continue
+        following = data.find(b"\r\n\r\nWARC/", at)
+        stop = following + 4 if following >= 0 else len(data)
+        yield at, stop - at, {}, data[at:stop]
+        at = stop
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(path, offset, length, url, payload) of the records of the WARC files below a path that Spark can read."""
+    """(path, offset, length, url, payload, broken) of the records of the WARC files below a path that Spark can read. broken: the bytes between
+    whole records. A file is one value of Spark's reader, so at most 2 GB."""
 
     def run(frames):
         import pandas as pd
 
         for f in frames:
             for p, content in zip(f["path"], f["content"], strict=True):
-                rows = [(p, at, n, h.get("warc-target-uri"), body) for at, n, h, body in parse(content)]
-                yield pd.DataFrame(rows, columns=["path", "offset", "length", "url", "payload"])
+                rows = [(p, at, n, h.get("warc-target-uri"), body, not h) for at, n, h, body in parse(content)]
+                yield pd.DataFrame(rows, columns=["path", "offset", "length", "url", "payload", "broken"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, offset long, length long, url string, payload binary")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, offset long, length long, url string, payload binary, broken boolean")
 
 
 def runs(records: DataFrame) -> DataFrame:

@@ -813,3 +813,16 @@ def test_fixity_equals_sql(spark):
     rel = c.sql(fixity.OP7_SQL)
     df = fixity.op7_warc_fixity(spark, "/root/testdata/sf0.01")
     assert df.columns == rel.columns and sorted(map(tuple, df.collect()), key=str) == sorted(rel.fetchall(), key=str)
+
+
+def test_warc_with_a_broken_record(spark, tmp_path):
+    record = lambda i, n=None: (f"WARC/1.0\r\nWARC-Target-URI: http://h/{i}\r\nContent-Length: {3 if n is None else n}\r\n\r\nab{i}\r\n\r\n").encode()
+    for bad in ("99999999", "1", "x", "-3", "9" * 30):
+        data = record(0) + record(1, bad) + record(2) + b"\r\n"
+        got = [*fixity.parse(data)]
+        assert [(h.get("warc-target-uri"), p) for _, _, h, p in got] == [("http://h/0", b"ab0"), (None, record(1, bad)), ("http://h/2", b"ab2")]
+        assert b"".join(data[at : at + n] for at, n, *_ in got) == data[:-2]
+    assert [*fixity.parse(b"")] == [*fixity.parse(b"\r\n")] == [] and [p for *_, p in fixity.parse(b"no record at all, but long")] == [b"no record at all, but long"]
+    (tmp_path / "a.warc").write_bytes(record(0) + record(1, 8))
+    rows = fixity.read_warc(spark, str(tmp_path)).orderBy("offset").collect()
+    assert [(r["url"], r["broken"], bytes(r["payload"])) for r in rows] == [("http://h/0", False, b"ab0"), (None, True, record(1, 8))]
