@@ -180,9 +180,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vector_sampl
     # 4 partitions, 4 MB each
     sums = sum((np.frombuffer(r["sums"], np.int64).reshape(BUCKETS, DIM) for r in few.mapInArrow(add_up, "sums binary").collect()), np.zeros((BUCKETS, DIM), np.int64))
     vectors = unit(sums, signs)
-    got = features(rows, vectors, ["quality"]).toPandas().sort_values("doc_id")
-    x = np.array(got["x"].tolist(), float).reshape(len(got), DIM + FIGURES)
-    return train(x, got["quality"].to_numpy(float), vectors)
+    # as Arrow: rows of Python numbers take four times as much of the driver's memory
+    got = features(rows, vectors, ["quality"]).toArrow().sort_by("doc_id")
+    x = np.array(got["x"].combine_chunks().flatten(), float).reshape(got.num_rows, DIM + FIGURES)
+    model = train(x, np.array(got["quality"], float), vectors)
+    del got, x
+    give_back()
+    return model
 
 
 def features(docs: DataFrame, vectors: np.ndarray, more: list[str]) -> DataFrame:

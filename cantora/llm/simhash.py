@@ -11,13 +11,12 @@ the radius. A block's first bits, as many as give tiles of about TILE / 4, are t
 is cut by population count and hash, and pairs of such tiles beyond the radius are skipped. A group gives out only the edges
 of a spanning forest of its links: connections are kept, and a thick group doesn't emit all its pairs.
 
-Similar texts (``similar_groups``, the pipeline's stage): the same comparison of fingerprints of distinct shingles with a wide radius, inside bands of
-alike shingle counts, joins texts into families that may hold links. Links outside the radius are found by first shingles: in any order of all shingles, two sets as similar
+Similar texts (``similar_groups``, the pipeline's stage): fingerprints of distinct shingles, compared with a wide radius where they share some bits of a block and a band of
+alike shingle counts, join texts into families that may hold links. All links that this doesn't find are found by first shingles: in any order of all shingles, two sets as similar
 as asked share one of the first n - ceil(similarity * n) + 1 of each. Families that such a shingle may link are joined, by bounds that hold in every case.
-Inside each family the Jaccard similarity of whole shingle sets decides. No link is lost. With so wide a radius no block helps, so this comparison grows with the square of
-the different texts in a band of counts.
+Inside each family the Jaccard similarity of whole shingle sets decides. No link is lost. A text goes to TABLES groups of fingerprints, however many there are.
 
-Components: large-star and small-star steps over the edges until nothing moves, cutting the lineage by
+Components: up to EDGES_AT_ONCE edges in one task; more by large-star and small-star steps until nothing moves, cutting the lineage by
 tables in the shared folder.
 
 Nulls: a null text is an empty one; a null id takes part and is none in the results. Texts without words are alike. Repeated rows, equal texts and equal
@@ -35,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantora.llm.common import broadcast_if_small, map_batches, materialize, release, table, texts
+from cantora.llm.common import broadcast_if_small, give_back, map_batches, materialize, release, table, texts
 
 SEED, WIDTH, RADIUS = 42, 3, 3
 #: Fingerprints in a tile.
@@ -45,6 +44,10 @@ BLOCK = 1 << 20
 BITS_AT_ONCE = 1 << 16
 #: At a Jaccard similarity of 0.8 about 10 bits are expected to differ. The radius decides which of two exact ways finds a link, not whether it is found.
 SIMILAR_RADIUS, SIMILAR_TILE = 18, 8192
+#: Blocks of bits by which texts meet for the comparison with the wide radius.
+TABLES = 4
+#: Edges whose components are found in one task; beyond that by steps over tables.
+EDGES_AT_ONCE = 1 << 21
 #: Numbers in a sketch, and pairs whose sketches are compared in one go.
 BINS, PAIRS_AT_ONCE = 256, 1 << 14
 #: Shingles of a family that are compared in one group at most.
@@ -210,9 +213,38 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame
     return whole.unionAll(deal(celled, cells, reach, tile).groupBy(*GROUP).applyInPandas(compare, schema))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each node of an edge reaches. A written table."""
+def least_reached(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the edges, and the smallest id that each of them reaches."""
+    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    up = np.arange(len(ids))
+    while True:
+        x, y = up[a], up[b]
+        apart = x != y
+        if not apart.any():
+            return ids, ids[up]
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(top := up[up], up):
+            up = top
+
+
+def components(edges: DataFrame, at_once: int = EDGES_AT_ONCE) -> DataFrame:
+    """(node, root): the smallest node that each node of an edge reaches, but for those that reach no smaller one. A written table."""
     e = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
+    if e.count() <= at_once:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = [(np.empty(0, np.int64), np.empty(0, np.int64)), *((b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches)]
+            node, root = least_reached(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            node, root = node[node != root], root[node != root]
+            for k in range(0, len(node), BITS_AT_ONCE):
+                yield pa.RecordBatch.from_arrays([pa.array(node[k : k + BITS_AT_ONCE]), pa.array(root[k : k + BITS_AT_ONCE])], ["node", "root"])
+            give_back()
+
+        found = materialize(e.coalesce(1).mapInArrow(run, "node long, root long"))
+        release(e)
+        return found
     before = None
     while True:
         # large star: every larger neighbour goes to the least of the neighbourhood
@@ -293,35 +325,49 @@ def loose_links(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...] | None, rad
     return left, right
 
 
+def candidate_keys(n: Column, fp: Column, similarity: float) -> Column:
+    """An array of TABLES structs (k, band, block): the k-th block of bits of the fingerprint, and a band of shingle counts. Bands are as wide as four steps
+    of the similarity, and each table's begin elsewhere, so that alike counts share a band in most of them."""
+    width = 4 * F.log(F.lit(1 / similarity))
+    bits = 64 // TABLES
+    band = lambda k: F.floor(F.log(n.cast("double")) / width + k / TABLES).cast("int")
+    block = lambda k: F.shiftrightunsigned(fp, k * bits).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+    return F.array(*(F.struct(F.lit(k).alias("k"), band(k).alias("band"), block(k).alias("block")) for k in range(TABLES)))
+
+
 def similar_candidates(nodes: DataFrame, radius: int, similarity: float, tile: int) -> DataFrame:
-    """Pairs (u, v) of ids of ``nodes`` (rep, fp, n, sketch) that ``loose_links`` finds: they connect all candidates. Cells are bands of shingle counts, of which only
-    neighbours can be similar enough; a band of more than one tile is cut by population counts, and cells beyond the radius are skipped."""
-    spark = nodes.sparkSession
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
-    banded = nodes.where("n > 0").withColumn("p", band).withColumn("ones", F.shiftright(F.bit_count("fp"), 3).cast("int"))
-    # bands are logarithms of counts, and there are 9 groups of population counts: some hundred rows for texts of any length
-    counts = {(r["p"], r["ones"]): r["c"] for r in banded.groupBy("p", "ones").agg(F.count(F.lit(1)).alias("c")).collect()}
-    totals: dict[int, int] = {}
-    for (p, _), c in counts.items():
-        totals[p] = totals.get(p, 0) + c
-    if not totals:
-        return spark.createDataFrame([], "u long, v long")
-    large = [p for p, c in totals.items() if c > tile]
-    celled = banded.withColumn("q", F.when(F.col("p").isin(large), F.col("ones")).otherwise(-1) if large else F.lit(-1)).drop("ones")
-    sizes = {(p, -1): c for p, c in totals.items() if p not in large} | {(p, q): c for (p, q), c in counts.items() if p in large}
-    apart = lambda q, s: 0 if -1 in (q, s) or q == s else 8 * abs(q - s) - 7
-    pairs = [(p, q, r, s) for p, q in sizes for r, s in sizes if (r == p and s >= q or r == p + 1) and apart(q, s) <= radius]
-    cells = spark.createDataFrame([(*c, n) for c, n in sizes.items()], "p int, q int, n long")
-    reach = spark.createDataFrame(pairs, "p int, q int, r int, s int")
+    """Pairs (u, v) of ids of ``nodes`` (rep, fp, n, sketch) that ``loose_links`` finds in groups of rows which share a table's band of counts and as many first bits of its block as
+    bring a band down to groups of about half a tile. A row goes to TABLES groups, at any size of the input. Not all links meet in a group; ``prefix_links`` finds the others."""
+    schema = "u long, v long"
+    if radius < 0:
+        return nodes.sparkSession.createDataFrame([], schema)
+    keyed = nodes.where("n > 0").withColumn("t", F.explode(candidate_keys(F.col("n"), F.col("fp"), similarity))).select("rep", "fp", "n", "sketch", "t.*")
+    # bands are logarithms of counts: some dozens for texts of any length
+    counts = keyed.groupBy("k", "band").agg(F.count(F.lit(1)).alias("c")).collect()
+    if not counts:
+        return nodes.sparkSession.createDataFrame([], schema)
+    most = 64 // TABLES
+    used = {r["k"] + TABLES * r["band"]: min(most, (2 * r["c"] // tile).bit_length()) for r in counts}
+    bits = F.element_at(F.create_map(*(F.lit(x) for pair in used.items() for x in pair)), F.col("k") + TABLES * F.col("band"))
+    grouped = keyed.withColumn("bits", bits).withColumn("g", F.expr(f"shiftright(block, {most} - bits)")).drop("block", "bits")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
+        # a group that its bits don't cut goes in windows along its fingerprints, the table's block first
+        turned = group["fp"].to_numpy().view(np.uint64)
+        k = np.uint64(int(group["k"].iat[0]) * most)
+        if len(group) > tile:
+            group = group.iloc[np.argsort(turned >> k | turned << (np.uint64(64) - k) if k else turned, kind="stable")]
         fp, n, rep = group["fp"].to_numpy().view(np.uint64), group["n"].to_numpy(), group["rep"].to_numpy()
-        marks = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, BINS)
-        a, b = sides(group)
-        i, j = loose_links((fp[a], n[a], marks[a]), None if b is None else (fp[b], n[b], marks[b]), radius, similarity)
-        return pd.DataFrame({"u": rep[a[i]], "v": rep[a[j] if b is None else b[j]]})
+        left, right = [rep[:0]], [rep[:0]]
+        for at in range(0, max(1, len(group) - tile // 2), max(1, tile // 2)):
+            part = slice(at, at + tile)
+            marks = np.frombuffer(b"".join(group["sketch"].iloc[part]), np.uint8).reshape(-1, BINS)
+            i, j = loose_links((fp[part], n[part], marks), None, radius, similarity)
+            left.append(rep[part][i])
+            right.append(rep[part][j])
+        return pd.DataFrame({"u": np.concatenate(left), "v": np.concatenate(right)})
 
-    return deal(celled, cells, reach, tile).groupBy(*GROUP).applyInPandas(compare, "u long, v long")
+    return grouped.groupBy("k", "band", "g").applyInPandas(compare, schema)
 
 
 def common_hashes(docs: DataFrame, width: int) -> np.ndarray:
@@ -336,8 +382,14 @@ def common_hashes(docs: DataFrame, width: int) -> np.ndarray:
 
     every = max(1, docs.count() // COMMON_SAMPLE)
     found = map_batches(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text"), make, "hash long").groupBy("hash").agg(F.count(F.lit(1)).alias("c"))
-    rows = found.where(F.col("c") >= COMMON_LEAST).orderBy(F.desc("c"), "hash").limit(COMMON_MOST).collect()
-    return np.sort(np.array([r["hash"] for r in rows], np.int64).view(np.uint64))
+    top = found.where(F.col("c") >= COMMON_LEAST).orderBy(F.desc("c"), "hash").limit(COMMON_MOST).select("hash")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.column("hash").to_numpy().tobytes()], pa.binary())], ["hashes"])
+
+    # packed: as rows of their own they take some hundred bytes each in the driver
+    return np.sort(np.frombuffer(b"".join(r["hashes"] for r in top.mapInArrow(pack, "hashes binary").collect()), np.uint64))
 
 
 def first_hashes(distinct: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:

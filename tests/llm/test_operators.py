@@ -357,6 +357,36 @@ def brute_groups(texts, similarity=0.8):
     return {i: root(i) for i in ids}
 
 
+def test_candidates_meet_in_as_many_groups_at_any_size(spark):
+    rng = random.Random(4)
+    whole = rng.getrandbits(64)
+    fps = [whole ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) if i % 3 else rng.getrandbits(64) for i in range(600)]
+    nodes = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f, 50 + i % 5, bytes(range(256))) for i, f in enumerate(fps)], "rep long, fp long, n long, sketch binary")
+    found = simhash.similar_candidates(nodes, 18, 0.8, 16)
+    # rows that are dealt to the groups: what the comparison's plan reads
+    plan = found._jdf.queryExecution().analyzed()
+    while "FlatMapGroupsInPandas" not in plan.nodeName():
+        plan = plan.children().head()
+    dealt = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan.children().head()).count()
+    assert dealt == simhash.TABLES * len(fps)
+    got = {r["u"] for r in found.collect()} | {r["v"] for r in found.collect()}
+    assert sum(i in got for i in range(600) if i % 3) > 390  # near copies of one text: a window holds 16 of them
+
+
+def test_components_in_one_task_and_by_steps(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(300)] + [(-5, 7), (7, 7)]
+    table = spark.createDataFrame(edges, "u long, v long")
+    up = {x: x for e in edges for x in e}
+    for _ in up:
+        for a, b in edges:
+            up[a] = up[b] = min(up[a], up[b])
+    want = {x: r for x, r in up.items() if x != r}
+    for at_once in (1 << 20, 0):
+        assert {r["node"]: r["root"] for r in simhash.components(table, at_once).collect() if r["node"] != r["root"]} == want
+    assert simhash.components(table.where("false")).count() == 0
+
+
 def test_similar_groups(spark, docs, none):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = brute_groups({r["doc_id"]: r["text"] for r in table.collect()})
