@@ -65,31 +65,83 @@ def overlap_first(spans: DataFrame, segments: DataFrame, key: str, bucket: float
 
 def greedy_overlap(spans: DataFrame, segments: DataFrame, key: str, least: float = 0.0) -> DataFrame:
     """(key, span, seg): for each span in order the unused segment of largest overlap (the first of equals), if it is over nothing and at
-    least ``least``. Sequential only where spans compete: a key is cut wherever no interval reaches over, and a piece between two such cuts is one group."""
+    least ``least``. Sequential only where spans compete: a key is cut wherever no interval reaches over, and a piece between two such cuts is matched by itself.
+    Rows stream through a task by key and time; it holds one batch and one piece."""
+    from bisect import bisect_left, bisect_right
+    from itertools import accumulate
+
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
-    both = spans.select(key, F.col("vs").alias("_s"), F.col("ve").alias("_e"), "span", F.lit(None).cast("long").alias("seg")).unionAll(
-        segments.select(key, F.col("s").alias("_s"), F.col("e").alias("_e"), F.lit(None).cast("long").alias("span"), "seg")
+    both = spans.select(key, F.col("vs").alias("_s"), F.col("ve").alias("_e"), F.lit(True).alias("_span"), F.col("span").cast("long").alias("_id")).unionAll(
+        segments.select(key, F.col("s").alias("_s"), F.col("e").alias("_e"), F.lit(False).alias("_span"), F.col("seg").cast("long").alias("_id"))
     )
-    # intervals by start; where one starts at or after all ends before, a new piece begins
-    earlier = Window.partitionBy(key).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, -1)
-    cut = both.withColumn("_new", F.coalesce(F.col("_s") >= F.max("_e").over(earlier), F.lit(True)).cast("long"))
-    pieces = cut.withColumn("_piece", F.sum("_new").over(Window.partitionBy(key).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, 0)))
-
-    def run(k, group: pd.DataFrame) -> pd.DataFrame:
-        v = group[group["span"].notna()].sort_values("span")
-        w = group[group["span"].isna()].sort_values("seg")
-        s, e, free, out = w["_s"].to_numpy(), w["_e"].to_numpy(), np.ones(len(w), bool), []
-        for span, vs, ve in v[["span", "_s", "_e"]].itertuples(index=False):
-            shared = np.where(free, np.minimum(e, ve) - np.maximum(s, vs), 0.0)
-            if len(shared) and shared[best := int(shared.argmax())] > 0 and shared[best] >= least:
+    # what has no length overlaps nothing
+    timed = both.withColumns({c: F.col(c).cast("double") for c in ("_s", "_e")}).where("_s < _e and not isnan(_e)").repartition(key).sortWithinPartitions(key, "_s")
+    wide = 256
+
+    def match(s: list, e: list, is_span: list, ident: list, at: list[int], out: list) -> None:
+        """Of the rows ``at`` of one piece, by start: adds (row of the segment, span, segment) to ``out``."""
+        segs = [i for i in at if not is_span[i]]
+        starts, ends = [s[i] for i in segs], [e[i] for i in segs]
+        tops, free = list(accumulate(ends, max)), [True] * len(segs)
+        if len(segs) > wide:
+            start_of, end_of, number, unused = np.array(starts), np.array(ends), np.array([ident[i] for i in segs]), np.ones(len(segs), bool)
+        for v in sorted((i for i in at if is_span[i]), key=lambda i: (ident[i], s[i])):
+            vs, ve, best, most = s[v], e[v], -1, 0.0
+            low, high = bisect_right(tops, vs), bisect_left(starts, ve)
+            if high - low > wide:
+                shared = np.where(unused[low:high], np.minimum(end_of[low:high], ve) - np.maximum(start_of[low:high], vs), 0.0)
+                if (most := float(shared.max())) > 0:
+                    equal = low + np.flatnonzero(shared == most)
+                    best = int(equal[number[equal].argmin()])
+            else:
+                for k in range(low, high):
+                    if free[k] and (length := min(ends[k], ve) - max(starts[k], vs)) >= most and length > 0 and (length > most or ident[segs[k]] < ident[segs[best]]):
+                        best, most = k, length
+            if best >= 0 and most >= least:
                 free[best] = False
-                out.append((k[0], int(span), int(w["seg"].iloc[best])))
-        return pd.DataFrame(out, columns=[key, "span", "seg"])
+                if len(segs) > wide:
+                    unused[best] = False
+                out.append((segs[best], ident[v], ident[segs[best]]))
+
+    def run(batches):
+        fields = ("_s", "_e", "_span", "_id")
+        held, last, top = [], None, 0.0
+
+        def matched(rows: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+            columns, out = [rows[c].to_pylist() for c in fields], []
+            for a, b in zip(cuts, [*cuts[1:], rows.num_rows], strict=True):
+                if b - a > 1:
+                    match(*columns, range(a, b), out)
+            which, span, seg = zip(*out, strict=True) if out else ((), (), ())
+            return pa.RecordBatch.from_arrays([rows[key].combine_chunks().take(pa.array(which, pa.int64())), pa.array(span, pa.int64()), pa.array(seg, pa.int64())], [key, "span", "seg"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cuts = []
+            for i, (k, s, e) in enumerate(zip(batch[key].to_pylist(), batch["_s"].to_pylist(), batch["_e"].to_pylist(), strict=True)):
+                if k != last or s >= top or (not held and not i):
+                    cuts.append(i)
+                    last, top = k, e
+                elif e > top:
+                    top = e
+            if cuts:
+                # all pieces before the batch's last one are whole
+                before = [*held, *([batch.slice(0, cuts[-1])] if cuts[-1] else [])]
+                if before:
+                    shift = sum(h.num_rows for h in held)
+                    inner = [shift + c for c in cuts[:-1]]
+                    yield matched(pa.Table.from_batches(before), ([0] if held else []) + inner)
+                held = [batch.slice(cuts[-1])]
+            else:
+                held.append(batch)
+        if held:
+            yield matched(pa.Table.from_batches(held), [0])
 
     kind = segments.schema[key].dataType.simpleString()
-    return pieces.groupBy(key, "_piece").applyInPandas(run, f"{key} {kind}, span long, seg long")
+    return timed.mapInArrow(run, f"{key} {kind}, span long, seg long")
 
 
 def lookup(rows: DataFrame, dimension: DataFrame, key: str, order: str) -> DataFrame:

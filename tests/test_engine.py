@@ -218,6 +218,32 @@ def test_greedy_overlap_takes_the_best_unused(spark):
         assert {tuple(r) for r in got.collect()} == want
 
 
+def test_greedy_overlap_streams_large_ids_and_long_pieces(spark):
+    rng, big = random.Random(26), 1 << 60
+    spans = [(k, big + 2 * i + 1, s, s + rng.choice([1.0, 30.0])) for k in (None, 1, 2) for i, s in enumerate(sorted(float(rng.randrange(400)) for _ in range(60)))]
+    segs = [(k, big + 2 * i + 1, s, s + rng.choice([1.0, 2.0, 60.0])) for k in (None, 2, 3) for i, s in enumerate(float(rng.randrange(400)) for _ in range(700))]
+    segs += [(2, 1, 0.0, 500.0), (2, 3, None, 9.0), (2, 5, 9.0, None), (1, 7, 5.0, 5.0)]
+    want, used = set(), set()
+    for k, v, vs, ve in spans:
+        best, best_seg = 0.0, None
+        for k2, i, s, e in sorted((x for x in segs if None not in x[2:]), key=lambda x: x[1]):
+            o = min(ve, e) - max(vs, s)
+            if k2 == k and (k, i) not in used and o > best:
+                best, best_seg = o, i
+        if best_seg is not None:
+            used.add((k, best_seg))
+            want.add((k, v, best_seg))
+    got = joins.greedy_overlap(spark.createDataFrame(spans, "k int, span long, vs double, ve double"), spark.createDataFrame(segs, "k int, seg long, s double, e double"), "k")
+    assert len(want) > 100
+    for rows in ("10000", "7"):  # pieces that reach over batches
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        try:
+            assert {tuple(r) for r in got.collect()} == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "InPandas" not in got._jdf.queryExecution().toString()  # a group for each piece takes a thousandth of a second each
+
+
 def test_sparse_positions(spark):
     rng = random.Random(25)
     ids = [*{rng.randrange(-(1 << 62), 1 << 62) for _ in range(3000)}]
