@@ -225,6 +225,11 @@ def test_clean_spoken_capitals(spark, tmp_path):
     assert got[0] == "ẞa.ẞb" and got[3] == "ẞ" and got[4] is None
 
 
+def test_restore_caps_capitals(spark, tmp_path):
+    got = dict(as_sql(spark, "restore_caps", odd_documents(tmp_path), "documents"))
+    assert got[1] == "X.ŉb!ᾼ?ﬁn" and got[2] == "Über.Ǆx.ẞ" and got[7] == "ΐ.և.ẖ"
+
+
 def test_greedy_overlap_takes_the_best_unused(spark):
     rng = random.Random(24)
     for least in (0.0, 0.3):
