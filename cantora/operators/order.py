@@ -68,6 +68,17 @@ def sort_parts(df: DataFrame, path: str) -> DataFrame:
     return df.orderBy(part_index(F.col(path)), path)
 
 
+def number_files(df: DataFrame, path: str, out: str, prefix: int = 8) -> DataFrame:
+    """Numbers from 0 of all files in the order of ``sort_parts``; those of a repeated path are in any order. Positions are counted among the files of a part whose paths
+    begin alike, after the counts of those before; the only window over all has a row for each such group. Paths aren't null."""
+    df = df.withColumns({"_part": part_index(F.col(path)), "_begin": F.substring(path, 1, prefix)})
+    counts = df.groupBy("_part", "_begin").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part", "_begin").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", "_begin", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_part", "_begin").orderBy(path)
+    return df.join(starts, ["_part", "_begin"]).withColumn(out, F.row_number().over(inside) - 1 + F.col("_start")).drop("_part", "_begin", "_start")
+
+
 def union_parts(parts: list[DataFrame]) -> DataFrame:
     """All rows of several tables; columns that one lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

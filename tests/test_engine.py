@@ -230,6 +230,22 @@ def test_restore_caps_capitals(spark, tmp_path):
     assert got[1] == "X.ŉb!ᾼ?ﬁn" and got[2] == "Über.Ǆx.ẞ" and got[7] == "ΐ.և.ẖ"
 
 
+def test_part_order_counts_repeated_names(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    ids = [None, -3, -5, *range(0, 40), *range(990, 1050), *range(2000, 2040)]
+    pq.write_table(pa.table({"page_id": pa.array(ids, pa.int64())}), tmp_path / "pages.parquet")
+    got = as_sql(spark, "part_order", str(tmp_path), "pages")
+    assert len(got) < max(position for _, position in got)  # the names of 1 and 1001 are alike
+    files = [f"{random.Random(27).choice('ab')}{i % 90}_{i % 13}.json" for i in range(200)]
+    table = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "f string, i int")
+    ranked = sorted(range(200), key=lambda i: (i % 13, files[i]))
+    for prefix in (1, 3, 20):
+        numbered = order.number_files(table, "f", "n", prefix).collect()
+        assert [r["f"] for r in sorted(numbered, key=lambda r: r["n"])] == [files[i] for i in ranked]
+
+
 def test_greedy_overlap_takes_the_best_unused(spark):
     rng = random.Random(24)
     for least in (0.0, 0.3):
